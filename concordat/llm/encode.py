@@ -1,21 +1,22 @@
-"""Byte-level BPE encoding with a bounded cache of white-space chunks.
+"""Byte-level BPE encoding that sends each distinct word to the library once.
 
 The pre-tokenizer never joins what lies on both sides of a single space
-between two non-space characters, so a text may be cut there, each chunk
-encoded on its own and the ids concatenated. Words repeat, so most chunks come
-from the cache; the rest go to the library in one batch.
+between two non-space characters, so a text may be cut there, each word (with
+the space before it) encoded on its own and the ids concatenated. Arrow finds
+the distinct words of a batch, numpy puts their ids together again. Texts with
+other runs of white space go to the library whole.
 """
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE_CHUNKS = 200_000
-LONG_CHUNK = 64
+CACHE_WORDS = 1_000_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -24,58 +25,120 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class ChunkEncoder:
+def _byte_lengths(tok) -> np.ndarray:
+    """Bytes that each id stands for: a byte-level piece has one character a byte."""
+    out = np.zeros(tok.get_vocab_size(), dtype=np.int64)
+    for piece, i in tok.get_vocab().items():
+        out[i] = len(piece)
+    return out
+
+
+class WordEncoder:
     """Encodes texts with a ``tokenizers`` file; text that looks like a special
-    token is ordinary text. Null counts as empty; an empty text has no ids."""
+    token is ordinary text. Null counts as empty; an empty text has no ids.
+
+    Known words are numbered; their ids lie in one growing array. Beyond
+    ``cache_words`` words it all starts anew, so memory is bounded.
+    """
 
-    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.cache: dict[str, list[int]] = {}
-        self.cache_chunks = cache_chunks
+        self.width = _byte_lengths(self.tok)
+        self.cache_words = cache_words
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, dtype=np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
+        self.begin = np.zeros(1 << 14, dtype=np.int64)
+        self.used = 0
+
+    def _whole(self, texts: list[str]) -> list:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word, meant with a space before it."""
+        if len(self.number) > self.cache_words:
+            self._reset()
+        out = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        todo = np.flatnonzero(out < 0)
+        if len(todo):
+            # One call for all: words end where the bytes of the ids add up to theirs.
+            fresh = [words[i] for i in todo.tolist()]
+            text = " " + " ".join(fresh)
+            ids = np.array(self._whole([text])[0], dtype=self.flat.dtype)
+            data = np.frombuffer((text + " ").encode(), dtype=np.uint8)
+            ends = np.flatnonzero(data == 32)[1:]
+            covered = np.cumsum(self.width[ids])
+            at = np.searchsorted(covered, ends) + 1
+            if int(covered[-1]) != len(data) - 1 or len(ends) != len(fresh):
+                raise ValueError("the ids do not cover the text: not a byte-level vocabulary")
+            first, total = len(self.number), self.used + len(ids)
+            if total > len(self.flat):
+                self.flat = np.concatenate((self.flat, np.zeros(total, self.flat.dtype)))
+            if first + len(fresh) + 1 > len(self.begin):
+                self.begin = np.concatenate((self.begin, np.zeros(first + len(fresh), np.int64)))
+            self.flat[self.used : total] = ids
+            self.begin[first + 1 : first + len(fresh) + 1] = self.used + at
+            self.used = total
+            self.number.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+            out[todo] = np.arange(first, first + len(fresh))
+        return out
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids as one uint32 array, and the number of ids of each text."""
-        cache, flat, lengths = self.cache, [], []
-        docs = []
-        unseen: dict[str, None] = {}
-        for t in texts:
-            if not t:
-                docs.append(())
-                continue
-            head, *rest = CUT.split(t)
-            chunks = [head, *[" " + c for c in rest]]
-            docs.append(chunks)
-            for c in chunks:
-                if c not in cache:
-                    unseen[c] = None
-        todo = list(unseen)
-        fresh = {c: e.ids for c, e in zip(todo, self.tok.encode_batch(todo, add_special_tokens=False), strict=True)} if todo else {}
-        if len(cache) + len(fresh) > self.cache_chunks:
-            known = {c: cache[c] for d in docs for c in d if c in cache}
-            cache.clear()
-            cache.update(known)
-        cache.update(fresh)
-        get, extend = cache.__getitem__, flat.extend
-        for chunks in docs:
-            before = len(flat)
-            for ids in map(get, chunks):
-                extend(ids)
-            if end_id is not None:
-                flat.append(end_id)
-            lengths.append(len(flat) - before)
-        for c in fresh:
-            if len(c) > LONG_CHUNK or len(cache) > self.cache_chunks:
-                cache.pop(c, None)
-        return np.array(flat, dtype=np.uint32), np.array(lengths, dtype=np.int64)
+        n = len(texts)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        split = pc.split_pattern(pc.fill_null(pa.array(texts, pa.large_string()), ""), " ")
+        offsets = np.asarray(split.offsets).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        codes, values = np.asarray(coded.indices), coded.dictionary
+        words = values.to_pylist()
+        odd = np.asarray(pc.match_substring_regex(values, r"^$|^[\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ]$").to_numpy(zero_copy_only=False), dtype=bool)
+        counts = np.diff(offsets)
+        whole = np.zeros(n, dtype=bool)
+        if odd.any():
+            whole = np.add.reduceat(odd[codes].astype(np.int64), offsets[:-1]) > 0
+        # A text's first word has no space before it; a text with other white space counts as one word.
+        alone = self._whole([(texts[i] or "") if whole[i] else words[c] for i, c in enumerate(codes[offsets[:-1]].tolist())])
+        if not whole.any():
+            used = np.arange(len(words))
+        else:
+            seen = np.zeros(len(words), dtype=bool)
+            seen[codes[np.repeat(~whole, counts)]] = True
+            used = np.flatnonzero(seen)
+        numbers = np.zeros(len(words), dtype=np.int64)
+        numbers[used] = self._numbers(words if len(used) == len(words) else [words[i] for i in used.tolist()])
+        begin, size = self.begin[numbers], np.zeros(len(words), dtype=np.int64)
+        size[used] = self.begin[numbers[used] + 1] - begin[used]
+        each = size[codes]
+        each[np.repeat(whole, counts)] = 0
+        each[offsets[:-1]] = 0
+        rest = np.add.reduceat(each, offsets[:-1])
+        lead = np.fromiter(map(len, alone), np.int64, n)
+        tail = int(end_id is not None)
+        lengths = lead + rest + tail
+        start = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), dtype=np.uint32)
+        total = int(rest.sum())
+        inner = np.arange(total)
+        source = np.repeat(begin[codes] - (np.cumsum(each) - each), each) + inner
+        out[inner + np.repeat(start + lead - (np.cumsum(rest) - rest), rest)] = self.flat[source]
+        heads = np.fromiter(chain.from_iterable(alone), np.uint32, int(lead.sum()))
+        out[np.arange(len(heads)) + np.repeat(start - (np.cumsum(lead) - lead), lead)] = heads
+        if tail:
+            out[start + lengths - 1] = end_id
+        return out, lengths
 
 
 @lru_cache(maxsize=2)
-def chunk_encoder(path: str) -> ChunkEncoder:
+def word_encoder(path: str) -> WordEncoder:
     """One encoder for each worker process."""
-    return ChunkEncoder(path)
+    return WordEncoder(path)
 
 
 def slices(texts: list[str | None], max_chars: int = 4_000_000):

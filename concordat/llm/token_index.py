@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.llm import wavelet
-from concordat.llm.encode import chunk_encoder, slices
+from concordat.llm.encode import word_encoder, slices
 from concordat.storage import bounded_batches, materialize, open_input, scratch, ship, write_bytes
 
 SHARD_IDS = 2_000_000
@@ -34,7 +34,7 @@ def write_index(docs: DataFrame, tokenizer: str, end_id: int, bits: int = 16, ro
         from pyspark import TaskContext
 
         shard, part = TaskContext.get().partitionId(), 0
-        enc = chunk_encoder(tokenizer)
+        enc = word_encoder(tokenizer)
         ids, lengths, owners, held = [], [], [], 0
 
         def flush():
@@ -47,7 +47,7 @@ def write_index(docs: DataFrame, tokenizer: str, end_id: int, bits: int = 16, ro
 
         for batch in batches:
             texts, owner = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for a, b in slices(texts, 1_000_000):
+            for a, b in slices(texts):
                 got, n = enc.encode(texts[a:b], end_id)
                 ids.append(got)
                 lengths.append(n)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.encode import chunk_encoder, slices
+from concordat.llm.encode import word_encoder, slices
 from concordat.storage import AtomicWriter, bounded_batches, file_size, materialize, open_input, scratch, ship
 
 BLOCK_IDS = 1 << 20
@@ -37,13 +37,13 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, width: int = 2, roo
     def write(batches):
         from pyspark import TaskContext
 
-        enc = chunk_encoder(tokenizer)
+        enc = word_encoder(tokenizer)
         path, done = f"{root}/part-{TaskContext.get().partitionId():06d}.tok", 0
         rows = []
         with AtomicWriter(path) as out:
             for batch in batches:
                 texts = batch.column(1).to_pylist()
-                for a, b in slices(texts, 1_000_000):
+                for a, b in slices(texts):
                     ids, _ = enc.encode(texts[a:b], end_id)
                     if len(ids) and int(ids.max()) >> (8 * width):
                         raise ValueError(f"an id needs more than {width} bytes")
