@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm import token_index, token_scan
+from concordat.llm import quality, token_index, token_scan, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,8 +26,30 @@ def op9_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.read_index(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrated quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives and read back."""
+    paths = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, paths).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op3_token_counts": op3_token_counts,
     "op9_token_index": op9_token_index,
 }
-ORACLE_SQL: dict[str, str] = {}
+OP6_SQL = """
+with p as (select page_id, encode(coalesce(html, '')) as b, sha1(coalesce(html, '')) as d from pages),
+g as (select d, max(page_id) as first from p where octet_length(b) >= 1000 group by d having count(*) > 1)
+select p.page_id, cast(octet_length(b) as bigint) as payload_bytes, p.d as payload_digest,
+       case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+       case when first <> page_id then first end as refers_to
+from p left join g on p.d = g.d
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
