@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm import quality, token_index, token_scan, warc
+from concordat.llm import near_vectors, quality, token_index, token_scan, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -37,7 +37,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, paths).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return near_vectors.link(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op10_near_vectors": op10_near_vectors,
     "op5_quality": op5_quality,
     "op6_warc": op6_warc,
     "op3_token_counts": op3_token_counts,
