@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm import near_vectors, quality, token_index, token_scan, warc
+from concordat.llm import near_texts, near_vectors, quality, token_index, token_scan, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -42,7 +42,13 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.link(table(spark, sf_dir, "embeddings"))
 
 
+def op4_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, links, component and verdict of every document."""
+    return near_texts.link(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES = {
+    "op4_near_texts": op4_near_texts,
     "op10_near_vectors": op10_near_vectors,
     "op5_quality": op5_quality,
     "op6_warc": op6_warc,
