@@ -128,3 +128,21 @@ def ship(spark: SparkSession) -> None:
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches small enough for long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files that no plan refers to any more."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables written by :func:`materialize` that no later plan reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in {f.rpartition("/")[0] for t in tables for f in t.inputFiles()}:
+        if "/concordat/" in path:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    release(spark)
