@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm import near_texts, near_vectors, quality, token_index, token_scan, warc
+from concordat.llm import near_texts, near_vectors, quality, substrings, token_index, token_scan, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -47,7 +47,13 @@ def op4_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_texts.link(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, and what is left without repeated windows."""
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op7_substrings": op7_substrings,
     "op4_near_texts": op4_near_texts,
     "op10_near_vectors": op10_near_vectors,
     "op5_quality": op5_quality,
