@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm import near_texts, near_vectors, quality, substrings, token_index, token_scan, warc
+from concordat.llm import near_texts, near_vectors, pieces, quality, substrings, token_index, token_scan, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -52,7 +52,16 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding of every document, checked by decoding it again."""
+    return pieces.encode(table(spark, sf_dir, "documents"), vocabulary_path(PIECE_MODEL)).drop("ids")
+
+
 QUERIES = {
+    "op8_pieces": op8_pieces,
     "op7_substrings": op7_substrings,
     "op4_near_texts": op4_near_texts,
     "op10_near_vectors": op10_near_vectors,
