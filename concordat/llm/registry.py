@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm import near_texts, near_vectors, pieces, quality, substrings, token_index, token_scan, warc
+from concordat.llm import decontaminate, near_texts, near_vectors, pieces, quality, substrings, token_index, token_scan, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -60,7 +60,13 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), vocabulary_path(PIECE_MODEL)).drop("ids")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, verbatim or with other slot values."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op8_pieces": op8_pieces,
     "op7_substrings": op7_substrings,
     "op4_near_texts": op4_near_texts,
