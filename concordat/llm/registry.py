@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from concordat.llm import decontaminate, near_texts, near_vectors, pieces, quality, substrings, token_index, token_scan, warc
+from concordat.llm import decontaminate, near_texts, near_vectors, pieces, quality, substrings, token_index, token_scan, url_filter, warc
 from concordat.llm.encode import vocabulary_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -65,7 +66,17 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the URL of every page; a page's label is that of the document whose number its path names."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.regexp_extract("url", r"/(\d+)", 1)
+    named = pages.where("url is not null").select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    labelled = named.join(labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")), "doc_id").select("url", "bad")
+    return url_filter.judge(pages, labelled)
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_decontaminate": op2_decontaminate,
     "op8_pieces": op8_pieces,
     "op7_substrings": op7_substrings,
