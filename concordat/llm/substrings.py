@@ -29,8 +29,8 @@ from concordat.storage import bounded_batches, discard, materialize, ship
 
 WINDOW = 50
 GRAM = 10
-SPLIT_SEGMENTS = 1024
 SHARD_WORDS = 1_200_000
+SPLIT_SEGMENTS = SHARD_WORDS // 75  # an anchor is dealt out by window once its segments alone fill a shard
 
 
 def sliding(h: np.ndarray, w: int, op) -> np.ndarray:
