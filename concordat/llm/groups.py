@@ -71,7 +71,8 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray, linked: Callable[[int,
             continue
         hits = others[linked(i, others)]
         if len(hits):
-            edges += [(i, j) for j in hits.tolist()]
-            old = np.unique(parent[hits])
+            # One edge for each component that i joins, so all edges together are a forest.
+            old, first = np.unique(parent[hits], return_index=True)
+            edges += [(i, j) for j in hits[first].tolist()]
             parent[np.isin(parent, old)] = parent[i]
     return edges

@@ -201,9 +201,10 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
                     links[hits] += size[r]
                 fresh = hits[parent[hits] != parent[r]]
                 if len(fresh):
-                    a += [r] * len(fresh)
-                    b += fresh.tolist()
-                    parent[np.isin(parent, np.unique(parent[fresh]))] = parent[r]
+                    old, first = np.unique(parent[fresh], return_index=True)
+                    a += [r] * len(old)
+                    b += fresh[first].tolist()
+                    parent[np.isin(parent, old)] = parent[r]
             names = table.column("class").to_pylist()
             # A row per member with its links, and one per spanning edge with a second class.
             yield pa.RecordBatch.from_arrays(
