@@ -76,3 +76,26 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray, linked: Callable[[int,
             edges += [(i, j) for j in hits[first].tolist()]
             parent[np.isin(parent, old)] = parent[i]
     return edges
+
+
+def stars(names: list, edges: list[tuple[int, int]]) -> tuple[list, list]:
+    """The same components as ``edges`` give, each as edges from its least name to all its others.
+
+    Buckets that hold much the same group then name much the same edges.
+    """
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for i, j in edges:
+        a, b = root(i), root(j)
+        if a != b:
+            if names[a] <= names[b]:
+                parent[b] = a
+            else:
+                parent[a] = b
+    members = [i for i in parent if root(i) != i]
+    return [names[root(i)] for i in members], [names[i] for i in members]

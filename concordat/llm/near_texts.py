@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.groups import paired, runs, spanning, together
+from concordat.llm.groups import paired, runs, spanning, stars, together
 from concordat.llm.words import batch_hashes, rolled
 from concordat.operators.components import connected_components
 from concordat.storage import bounded_batches, materialize, ship
@@ -160,8 +160,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
             right = left if lo[0] == hi[0] else np.flatnonzero(mine == hi[0])
             found = spanning(table.num_rows, left, right, lambda i, o, short=short: survivors(short, i, o, needed))
             if found:
-                c = table.column("class").to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([c[i] for i, _ in found], pa.binary()), pa.array([c[j] for _, j in found], pa.binary())], names=["a", "b"])
+                a, b = stars(table.column("class").to_pylist(), found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     found = together(pieces, ["band", "code", "lo", "hi"]).mapInArrow(edges, "a binary, b binary").distinct()
     members = materialize(connected_components(found).withColumnRenamed("node", "class"), "texts-cells")
@@ -187,7 +187,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
             mine, size = np.asarray(table.column("mine")), np.asarray(table.column("size"))
             lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
             links = np.zeros(len(parts), dtype=np.int64)
-            a, b = [], []
+            pairs = []
             parent = np.arange(len(parts))
             for r, shared in intersections(flat, bounds[:-1], len(values), np.flatnonzero(mine == lo), bounds):
                 # Compared in whole numbers as far as they go: shared >= threshold * union.
@@ -202,13 +202,13 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
                 fresh = hits[parent[hits] != parent[r]]
                 if len(fresh):
                     old, first = np.unique(parent[fresh], return_index=True)
-                    a += [r] * len(old)
-                    b += fresh[first].tolist()
+                    pairs += [(r, j) for j in fresh[first].tolist()]
                     parent[np.isin(parent, old)] = parent[r]
             names = table.column("class").to_pylist()
+            a, b = stars(names, pairs)
             # A row per member with its links, and one per spanning edge with a second class.
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names + [names[i] for i in a], pa.binary()), pa.array([None] * len(names) + [names[j] for j in b], pa.binary()), pa.array(links.tolist() + [0] * len(a), pa.int64())], names=["class", "other", "n"]
+                [pa.array(names + a, pa.binary()), pa.array([None] * len(names) + b, pa.binary()), pa.array(links.tolist() + [0] * len(a), pa.int64())], names=["class", "other", "n"]
             )
 
     checked = materialize(together(cells, ["component", "lo", "hi"]).mapInArrow(verify, "class binary, other binary, n long"), "texts-links")

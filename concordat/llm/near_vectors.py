@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.groups import paired, runs, spanning, together
+from concordat.llm.groups import paired, runs, spanning, stars, together
 from concordat.operators.components import connected_components
 from concordat.storage import bounded_batches, materialize, ship
 
@@ -108,8 +108,8 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
             right = left if lo[0] == hi[0] else np.flatnonzero(mine == hi[0])
             found = spanning(len(x), left, right, lambda i, o, x=x: x[o] @ x[i] >= threshold)
             if found:
-                c = table.column("class").to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([c[i] for i, _ in found], pa.binary()), pa.array([c[j] for _, j in found], pa.binary())], names=["a", "b"])
+                a, b = stars(table.column("class").to_pylist(), found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     found = together(pieces, ["bucket", "code", "lo", "hi"]).mapInArrow(edges, "a binary, b binary").distinct()
     members = materialize(connected_components(found), "vec-members")
