@@ -227,11 +227,11 @@ def missingness_class(spark, sf):
 
 @query(
     """with g as (select c_mktsegment as segment, count(*) as n, avg(c_acctbal) as m, var_samp(c_acctbal) as v from customer group by all), o as (select a.segment, avg(c_acctbal) as om, var_samp(c_acctbal) as ov from g a join customer b on b.c_mktsegment <> a.segment group by all)
-select segment, n, printf('%.4f', m) as mean, printf('%.4f', om) as pooled_mean, printf('%.5f', (m - om) / sqrt((v + ov) / 2)) as smd from g join o using (segment)"""
+select segment, n, printf('%.6f', m) as mean, printf('%.6f', om) as pooled_mean, printf('%.5f', (m - om) / sqrt((v + ov) / 2)) as smd from g join o using (segment)"""
 )
 def smd(spark, sf):
     d = D.standardised_difference(table(spark, sf, "customer").select(F.col("c_mktsegment").alias("segment"), "c_acctbal"), "segment", "c_acctbal")
-    return d.select("segment", "n", _text("mean"), _text("pooled_mean"), _text("smd", 5))
+    return d.select("segment", "n", _text("mean", 6), _text("pooled_mean", 6), _text("smd", 5))
 
 
 @query()

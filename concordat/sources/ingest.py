@@ -122,7 +122,7 @@ def parse_pack(raw: bytes) -> Pack:
         bounds = v.get("plausible_range")
         if bounds is not None and (len(bounds) != 2 or bounds[0] > bounds[1]):
             raise IngestError(f"{name}: plausible_range {bounds}")
-        out.append(Variable(name, v["domain"], v.get("concept_id"), v.get("type"), tuple(map(str, v.get("domain_values") or ())), v.get("derivation"), v.get("unit"), tuple(bounds) if bounds else None, bool(v.get("outcome"))))
+        out.append(Variable(name, v["domain"], v.get("concept_id"), v.get("type"), tuple(map(str, v.get("domain_values") or ())), v.get("derivation"), v.get("unit"), tuple(map(float, bounds)) if bounds else None, bool(v.get("outcome"))))
     if len({v.name for v in out}) != len(out):
         raise IngestError("a variable occurs twice")
     if not any(v.outcome for v in out):
