@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_WORDS = 1_000_000
+STRING_WORDS = 64
 
 
 def vocabulary_path(name: str) -> str:
@@ -66,10 +67,11 @@ class WordEncoder:
         out = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
         todo = np.flatnonzero(out < 0)
         if len(todo):
-            # One call for all: words end where the bytes of the ids add up to theirs.
+            # One call for all, in short strings; words end where the bytes of the ids add up to theirs.
             fresh = [words[i] for i in todo.tolist()]
-            text = " " + " ".join(fresh)
-            ids = np.array(self._whole([text])[0], dtype=self.flat.dtype)
+            parts = [" " + " ".join(fresh[i : i + STRING_WORDS]) for i in range(0, len(fresh), STRING_WORDS)]
+            text = "".join(parts)
+            ids = np.fromiter(chain.from_iterable(self._whole(parts)), self.flat.dtype)
             data = np.frombuffer((text + " ").encode(), dtype=np.uint8)
             ends = np.flatnonzero(data == 32)[1:]
             covered = np.cumsum(self.width[ids])
@@ -113,21 +115,23 @@ class WordEncoder:
             used = np.flatnonzero(seen)
         numbers = np.zeros(len(words), dtype=np.int64)
         numbers[used] = self._numbers(words if len(used) == len(words) else [words[i] for i in used.tolist()])
-        begin, size = self.begin[numbers], np.zeros(len(words), dtype=np.int64)
+        begin, size = self.begin[numbers].astype(np.int32), np.zeros(len(words), dtype=np.int32)
         size[used] = self.begin[numbers[used] + 1] - begin[used]
         each = size[codes]
         each[np.repeat(whole, counts)] = 0
         each[offsets[:-1]] = 0
-        rest = np.add.reduceat(each, offsets[:-1])
+        rest = np.add.reduceat(each, offsets[:-1], dtype=np.int64)
         lead = np.fromiter(map(len, alone), np.int64, n)
         tail = int(end_id is not None)
         lengths = lead + rest + tail
         start = np.cumsum(lengths) - lengths
         out = np.empty(int(lengths.sum()), dtype=np.uint32)
         total = int(rest.sum())
-        inner = np.arange(total)
-        source = np.repeat(begin[codes] - (np.cumsum(each) - each), each) + inner
-        out[inner + np.repeat(start + lead - (np.cumsum(rest) - rest), rest)] = self.flat[source]
+        # A slice holds far fewer than 2**31 ids.
+        inner = np.arange(total, dtype=np.int32)
+        source = np.repeat(begin[codes] - (np.cumsum(each, dtype=np.int32) - each), each) + inner
+        body = np.repeat((start + lead - (np.cumsum(rest) - rest)).astype(np.int32), rest) + inner
+        out[body] = self.flat[source]
         heads = np.fromiter(chain.from_iterable(alone), np.uint32, int(lead.sum()))
         out[np.arange(len(heads)) + np.repeat(start - (np.cumsum(lead) - lead), lead)] = heads
         if tail:
