@@ -65,9 +65,12 @@ class Transducer:
         self.prefixes = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
         self.cuts = not any(MARK in p.lstrip(MARK) for p in pieces)
         self.longest = max(map(len, pieces), default=1)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
         self.words: dict[str, tuple[int, ...]] = {}
         self.reach = self._reachable() if kind == "bpe" else self.score
+        # The trie by its prefixes; true where a piece ends.
+        self.nodes = {p: p in self.reach for p in self.prefixes}
 
     def _reachable(self) -> dict[str, float]:
         """Pieces that the merges of their own text end in; no other is ever emitted."""
@@ -75,12 +78,11 @@ class Transducer:
 
     def apart(self, a: str, b: str) -> bool:
         """Whether the arc from piece ``a`` to piece ``b`` has a finite weight."""
-        key = (a, b)
-        ok = self.pairs.get(key)
+        after = self.pairs.setdefault(a, {})
+        ok = after.get(b)
         if ok is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[key] = merges(a + b, self.score) == [a, b]
+            ok = after[b] = merges(a + b, self.score) == [a, b]
+            self.n_pairs += 1
         return ok
 
     def path(self, text: str) -> list[str]:
@@ -102,27 +104,34 @@ class Transducer:
         return self._trace(text, back)
 
     def _bigram(self, text: str) -> list[str]:
+        if self.n_pairs > KEPT_PAIRS:
+            self.pairs, self.n_pairs = {}, 0
         n = len(text)
         last: list[str | None] = [None] * (n + 1)
         last[0] = ""
-        reach, prefixes, apart, pairs = self.reach, self.prefixes, self.apart, self.pairs
+        nodes, pairs, apart = self.nodes, self.pairs, self.apart
         for i in range(n):
             a = last[i]
             if a is None:
                 continue
-            for j in range(i + 1, n + 1):
+            after = pairs.get(a)
+            if after is None:
+                after = pairs[a] = {}
+            j = i + 1
+            while j <= n:
                 s = text[i:j]
-                if s not in prefixes:
+                ends = nodes.get(s)
+                if ends is None:
                     if j == i + 1 and last[j] is None:
                         last[j] = s  # a character of no piece stays alone
                     break
-                if last[j] is None and (s in reach or j == i + 1):
-                    if not a:
+                if last[j] is None and (ends or j == i + 1):
+                    ok = after.get(s) if a else True
+                    if ok is None:
+                        ok = apart(a, s)
+                    if ok:
                         last[j] = s
-                    else:
-                        ok = pairs.get((a, s))
-                        if apart(a, s) if ok is None else ok:
-                            last[j] = s
+                j += 1
         out, j = [], n
         while j:
             out.append(last[j])
@@ -235,13 +244,15 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches):
         forth, back = compiled(model)
         for batch in batches:
-            rows = []
+            rows, made = [], [np.zeros(0, "<i4")]
             for t in batch.column(1).to_pylist():
                 ids = forth.encode(t)
                 text = back.decode(ids)
-                rows.append((len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()), hashlib.sha256(text.encode()).hexdigest(), text == (t or ""), ids))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True))], names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip", "ids"])
+                made.append(np.array(ids, dtype="<i4"))
+                rows.append((len(ids), zlib.crc32(made[-1].tobytes()), hashlib.sha256(text.encode()).hexdigest(), text == (t or "")))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([len(x) for x in made]).astype(np.int32)), pa.array(np.concatenate(made)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)), lists], names=["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip", "ids"])
 
     plain = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     return plain.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_trip boolean, ids array<int>")
