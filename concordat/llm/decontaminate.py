@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concordat.llm.groups import ROW, row_key
 from concordat.llm.words import rolled
 from concordat.storage import bounded_batches, materialize, ship
 
@@ -100,7 +101,7 @@ def _slots(at: np.ndarray, k: int, slot: np.ndarray, value: np.ndarray) -> pa.Ar
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(hit.sum(axis=1)))).astype(np.int32)), pa.array(value[grid][hit].view(np.int64) if len(at) else np.zeros(0, np.int64)))
 
 
-FOUND = "id long, size int, pos int, h long, slots array<long>"
+FOUND = f"id {ROW}, size int, pos int, h long, slots array<long>"
 
 
 def _windows_of(sizes: list[int] | None, wanted: np.ndarray | None):
@@ -139,8 +140,8 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     ``LEAST_COVER`` of the item's words, or the whole item if it is shorter.
     ``reworded``: slots hold other values than the item's. Items of fewer than
     ``LEAST_ITEM`` words and null texts match nothing; null ids are carried
-    along; repeated items and rows are each reported. ``row`` is
-    :func:`monotonically_increasing_id` of the scan of ``docs``.
+    along; repeated items and rows are each reported. ``row`` is the row's
+    :func:`row_key`.
 
     The benchmark's window hashes go to the executors as a filter if there are
     at most ``filter_windows`` (8 bytes each); beyond that every window of the
@@ -149,14 +150,14 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     spark = docs.sparkSession
     ship(spark)
     bounded_batches(spark, 500)
-    items = benchmark.select(F.monotonically_increasing_id().alias("id"), benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("text"))
+    items = benchmark.select(row_key(benchmark["item_id"], benchmark["text"]).alias("id"), benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("text"))
     theirs = materialize(items.select("id", "text").mapInArrow(_windows_of(None, None), FOUND), "benchmark-windows")
     distinct = theirs.select("h").distinct()
     wanted = None
     if distinct.count() <= filter_windows:
         wanted = np.sort(np.array([r["h"] for r in distinct.collect()], dtype=np.int64))
     sizes = sorted(r["k"] for r in theirs.select(F.least("size", F.lit(WINDOW)).alias("k")).distinct().collect()) or [WINDOW]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    rows = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     ours = rows.select("row", "text").mapInArrow(_windows_of(sizes, wanted), FOUND).select(F.col("id").alias("row"), F.col("size").alias("k"), F.col("pos").alias("at"), "h", F.col("slots").alias("mine"))
     met = ours.join(theirs, "h").where(F.least("size", F.lit(WINDOW)) == F.col("k"))
     line = met.groupBy("row", "id", "size", (F.col("at") - F.col("pos")).alias("shift")).agg(
@@ -179,4 +180,4 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` that leak no item, with their own columns."""
     mark = "__decontaminate_row"
     leaking = find(docs, benchmark).select(F.col("row").alias(mark)).distinct()
-    return docs.withColumn(mark, F.monotonically_increasing_id()).join(leaking, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.withColumn(mark, row_key(docs["doc_id"], docs["text"])).join(leaking, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

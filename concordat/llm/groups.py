@@ -99,3 +99,16 @@ def stars(names: list, edges: list[tuple[int, int]]) -> tuple[list, list]:
                 parent[a] = b
     members = [i for i in parent if root(i) != i]
     return [names[root(i)] for i in members], [names[i] for i in members]
+
+
+ROW = "struct<d:bigint,x:bigint>"
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A name for a row that any later scan gives again, whatever the order: its id and a hash of its text.
+
+    Only rows with one id and one text share it, and they are to be treated
+    alike. Positions of rows would not do, as a plan may deal rows differently
+    each time that it runs.
+    """
+    return F.struct(F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(text, F.isnull(text)).alias("x"))

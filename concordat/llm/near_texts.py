@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.groups import paired, runs, spanning, stars, together
+from concordat.llm.groups import ROW, paired, row_key, runs, spanning, stars, together
 from concordat.llm.words import batch_hashes, rolled
 from concordat.operators.components import connected_components
 from concordat.storage import bounded_batches, materialize, ship
@@ -114,12 +114,12 @@ def intersections(flat: np.ndarray, starts: np.ndarray, size: int, rows: np.ndar
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
-    """(row, doc_id, class_id, n_links, component_id, kept) of every row of ``docs`` (doc_id, text).
+    """(row, worded, doc_id, class_id, n_links, component_id, kept) of every row of ``docs`` (doc_id, text).
 
     ``class_id``: the least id with the same shingle set; ``n_links``: other
     rows whose similarity reaches the threshold, copies included;
     ``component_id``: the least id reachable; ``kept``: one row of each
-    component. ``row`` numbers the input's rows as they are scanned. Texts
+    component. ``row`` is the row's :func:`row_key`, ``worded`` whether it has words. Texts
     without words (null, empty) link with nothing and are kept. Null ids count
     as greater than all others, and show as null. Repeated rows are copies of
     each other. Other columns are not read.
@@ -142,9 +142,10 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
                     sig[i] = values[row].tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], names=["row", "id", "class", "sig"])
 
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id"), docs["text"].alias("text"))
-    rows = materialize(keyed.mapInArrow(_compact(sign), "row long, id long, class binary, bands array<long>, short binary"), "texts-signed")
-    first = F.min(F.struct("id", "row")).alias("first")
+    keyed = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id"), docs["text"].alias("text"))
+    signed = keyed.mapInArrow(_compact(sign), f"row {ROW}, id long, class binary, bands array<long>, short binary")
+    rows = materialize(signed.withColumn("n", F.monotonically_increasing_id()), "texts-signed")
+    first = F.min(F.struct("id", "n", "row")).alias("first")
     classes = rows.where("class is not null").groupBy("class").agg(first, F.count("*").alias("size"), F.any_value("bands").alias("bands"), F.any_value("short").alias("short"))
     classes = materialize(classes, "texts-classes")
     buckets = classes.select("class", F.posexplode("bands").alias("band", "code"))
@@ -168,7 +169,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
 
     # The exact sets of the classes in cells, from their first rows' whole texts.
     wanted = members.join(classes.select("class", "first.row", "size"), "class")
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), docs["text"].alias("text")).join(wanted, "row")
+    # Repeated rows have one key; the join has put them together.
+    texts = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["text"].alias("text")).join(wanted, "row").dropDuplicates(["row"])
 
     def sets(batches):
         for batch in batches:
@@ -218,15 +220,16 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
     heads = final.join(lowest, "component").select(F.col("node").alias("class"), "head")
     known = classes.select("class", "first", "size").join(links, "class", "left").join(heads, "class", "left")
     known = known.select("class", F.col("first.id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("head", "first").alias("head"))
-    out = rows.select("row", "id", "class").join(known, "class", "left")
+    out = rows.select("row", "id", "n", "class").join(known, "class", "left")
     shown = lambda c: F.nullif(c, F.lit(NO_ID))
     return out.select(
         "row",
+        F.col("class").isNotNull().alias("worded"),
         shown(F.col("id")).alias("doc_id"),
         shown(F.coalesce("class_id", "id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         shown(F.coalesce("head.id", "id")).alias("component_id"),
-        F.coalesce(F.col("head.row") == F.col("row"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("head.n") == F.col("n"), F.lit(True)).alias("kept"),
     )
 
 
@@ -255,6 +258,10 @@ def _compact(sign):
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` but one of each near-duplicate component, with their own columns."""
-    mark = "__near_texts_row"
-    gone = link(docs).where("not kept").select(F.col("row").alias(mark))
-    return docs.withColumn(mark, F.monotonically_increasing_id()).join(gone, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    mark, tie = "__near_texts_row", "__near_texts_tie"
+    stay = link(docs).where("kept and worded").select(F.col("row").alias(mark), F.lit(True).alias(tie)).distinct()
+    blank = ~F.coalesce(docs["text"], F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
+    named = docs.withColumn(mark, row_key(docs["doc_id"], docs["text"]))
+    # Of repeated rows, which have one key, one stays; the join has put them together.
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return named.where(~blank).join(stay, mark).dropDuplicates([mark]).select(*names).unionByName(named.where(blank).select(*names))

@@ -45,7 +45,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links, component and verdict of every document."""
-    return near_texts.link(table(spark, sf_dir, "documents")).drop("row")
+    return near_texts.link(table(spark, sf_dir, "documents")).drop("row", "worded")
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

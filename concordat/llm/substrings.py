@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.fm_index import FMIndex
-from concordat.llm.groups import runs, together
+from concordat.llm.groups import ROW, row_key, runs, together
 from concordat.llm.words import batch_hashes, rolled
 from concordat.storage import bounded_batches, discard, materialize, ship
 
@@ -79,15 +79,14 @@ SEGMENTS = "array<struct<h:long,s:int,n:int,k1:long,k2:long>>"
 def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(row, starts): the windows of each row of ``docs`` (doc_id, text) that a smaller doc_id has too.
 
-    ``row`` is :func:`monotonically_increasing_id` of the scan of ``docs``,
-    ``starts`` the positions of the windows' first words. Rows without such
+    ``row`` is the row's :func:`row_key`, ``starts`` the positions of the windows' first words. Rows without such
     windows are left out, and so are null ids, which are not compared; null and
     short texts have no windows; a repeated row never removes itself.
     """
     spark = docs.sparkSession
     ship(spark)
     bounded_batches(spark, 500)
-    plain = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc"), docs["text"].alias("text"))
+    plain = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc"), docs["text"].alias("text"))
 
     def cut(batches):
         for batch in batches:
@@ -99,7 +98,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             values = pa.StructArray.from_arrays([pa.array(x) for x in parts], names=["h", "s", "n", "k1", "k2"])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(bounds), values)], names=["row", "doc", "a"])
 
-    made = materialize(plain.where("doc is not null").mapInArrow(cut, f"row long, doc long, a {SEGMENTS}"), "repeat-anchors")
+    made = materialize(plain.where("doc is not null").mapInArrow(cut, f"row {ROW}, doc long, a {SEGMENTS}"), "repeat-anchors")
     every = made.select("row", "doc", F.inline("a"))
     shared = every.groupBy("h").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("h")
     hits = materialize(every.join(shared, "h"), "repeat-hits")
@@ -124,7 +123,8 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["k1", "k2", "n", "doc", "h", "each", "words"])
 
-    texts = plain.select("row", "text").join(asked, "row").select("text", "segs")
+    # Repeated rows have one key; the join has put them together.
+    texts = plain.select("row", "text").join(asked, "row").dropDuplicates(["row"]).select("text", "segs")
     segs = materialize(texts.mapInArrow(words_of, "k1 long, k2 long, n int, doc long, h long, each array<long>, words binary"), "repeat-segments")
     discard(spark, owners)
 
@@ -194,7 +194,7 @@ def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([hashlib.sha256(r[2]).hexdigest() for r in rows], pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    rows = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     joined = rows.join(starts, "row", "left").select("doc_id", "text", "starts")
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
@@ -228,6 +228,6 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 cols[chars] = pa.array(lengths, cols[chars].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    marked = docs.withColumn(row, F.monotonically_increasing_id())
+    marked = docs.withColumn(row, row_key(docs["doc_id"], docs["text"]))
     joined = marked.join(starts.withColumnsRenamed({"row": row, "starts": mark}), row, "left")
     return joined.select(*[F.col(f"`{c}`") for c in names], mark).mapInArrow(run, schema)
