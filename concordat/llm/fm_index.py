@@ -69,7 +69,7 @@ class FMIndex:
         place = np.arange(len(words)) + owner
         text = np.zeros(n, dtype=np.int64)  # 0 ends a segment
         text[place] = ids + 1
-        self.owner = np.empty(n, dtype=np.int64)
+        self.owner = np.empty(n, dtype=np.int32)
         self.owner[place] = owner
         self.owner[bounds[1:] + np.arange(k)] = np.arange(k)
         self.n = n
@@ -84,31 +84,34 @@ class FMIndex:
         self.base = self.tree.rank(every, np.zeros(len(every), dtype=np.int64))
 
     def _sort(self, text: np.ndarray) -> None:
-        n, rank, h = self.n, text, 1
-        kept = {1: rank}
+        n, rank, h = self.n, text.astype(np.int32), 1
+        kept = {1: rank} if self.window & 1 else {}  # the ranks that make up the window's length
 
         def shifted(r: np.ndarray, by: int) -> np.ndarray:
-            out = np.zeros(n, dtype=np.int64)
+            out = np.zeros(n, dtype=np.int32)
             out[: max(n - by, 0)] = r[by:] + 1
             return out
 
         order = None
         while h < DEPTH:
-            key = rank * (n + 2) + shifted(rank, h)
+            key = rank.astype(np.int64)
+            key *= n + 2
+            key += shifted(rank, h)
             order = np.argsort(key)
-            sorted_key = key[order]
-            new = np.empty(n, dtype=np.int64)
-            new[order] = np.concatenate(([0], np.cumsum(sorted_key[1:] != sorted_key[:-1])))
+            key = key[order]
+            new = np.empty(n, dtype=np.int32)
+            new[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1], dtype=np.int32)))
             rank, h = new, 2 * h
-            kept[h] = rank
-        self.sa = order
+            if self.window & h:
+                kept[h] = rank
+        del key
+        self.sa = order.astype(np.int32)
         # Suffixes that agree on the window's words, by the powers of two that it is made of.
         same, at = np.ones(n - 1, dtype=bool), 0
         for p in sorted(kept, reverse=True):
-            if self.window & p:
-                r = (shifted(kept[p], at) if at else kept[p])[self.sa]
-                same &= r[1:] == r[:-1]
-                at += p
+            r = (shifted(kept[p], at) if at else kept[p])[self.sa]
+            same &= r[1:] == r[:-1]
+            at += p
         self.starts = np.concatenate(([0], np.flatnonzero(~same) + 1))
         self.ends = np.append(self.starts[1:], n)
 
