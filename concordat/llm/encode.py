@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 STRING_WORDS = 64
 
 
