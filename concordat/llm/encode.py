@@ -10,13 +10,14 @@ other runs of white space go to the library whole.
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_WORDS = 1_000_000
+CACHE_BYTES = 32_000_000
 STRING_WORDS = 64
 
 
@@ -38,21 +39,23 @@ class WordEncoder:
     """Encodes texts with a ``tokenizers`` file; text that looks like a special
     token is ordinary text. Null counts as empty; an empty text has no ids.
 
-    Known words are numbered; their ids lie in one growing array. Beyond
-    ``cache_words`` words it all starts anew, so memory is bounded.
+    Known words are numbered by their place in an Arrow array, so they take
+    little more than their bytes; their ids lie in one growing array. Beyond
+    ``cache_words`` words or ``cache_bytes`` bytes it all starts anew, so memory
+    is bounded.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.width = _byte_lengths(self.tok)
-        self.cache_words = cache_words
+        self.cache_words, self.cache_bytes = cache_words, cache_bytes
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.flat = np.zeros(1 << 16, dtype=np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
         self.begin = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
@@ -60,34 +63,37 @@ class WordEncoder:
     def _whole(self, texts: list[str]) -> list:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        """The number of each word, meant with a space before it."""
-        if len(self.number) > self.cache_words:
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each of these distinct words, meant with a space before it."""
+        if len(self.known) > self.cache_words or self.known.nbytes > self.cache_bytes:
             self._reset()
-        out = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        todo = np.flatnonzero(out < 0)
-        if len(todo):
-            # One call for all, in short strings; words end where the bytes of the ids add up to theirs.
-            fresh = [words[i] for i in todo.tolist()]
-            parts = [" " + " ".join(fresh[i : i + STRING_WORDS]) for i in range(0, len(fresh), STRING_WORDS)]
-            text = "".join(parts)
-            ids = np.fromiter(chain.from_iterable(self._whole(parts)), self.flat.dtype)
-            data = np.frombuffer((text + " ").encode(), dtype=np.uint8)
-            ends = np.flatnonzero(data == 32)[1:]
-            covered = np.cumsum(self.width[ids])
-            at = np.searchsorted(covered, ends) + 1
-            if int(covered[-1]) != len(data) - 1 or len(ends) != len(fresh):
-                raise ValueError("the ids do not cover the text: not a byte-level vocabulary")
-            first, total = len(self.number), self.used + len(ids)
-            if total > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros(total, self.flat.dtype)))
-            if first + len(fresh) + 1 > len(self.begin):
-                self.begin = np.concatenate((self.begin, np.zeros(first + len(fresh), np.int64)))
-            self.flat[self.used : total] = ids
-            self.begin[first + 1 : first + len(fresh) + 1] = self.used + at
-            self.used = total
-            self.number.update(zip(fresh, range(first, first + len(fresh)), strict=True))
-            out[todo] = np.arange(first, first + len(fresh))
+        found = pc.index_in(words, value_set=self.known)
+        if not found.null_count:
+            return found.to_numpy().astype(np.int64)
+        todo = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+        out = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        # One call for all, in short strings; words end where the bytes of the ids add up to theirs.
+        fresh = words.take(pa.array(todo))
+        cuts = np.append(np.arange(0, len(fresh), STRING_WORDS), len(fresh))
+        parts = [" " + p for p in pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), fresh), pa.scalar(" ", pa.large_string())).to_pylist()]
+        text = "".join(parts)
+        ids = np.fromiter(chain.from_iterable(self._whole(parts)), self.flat.dtype)
+        data = np.frombuffer((text + " ").encode(), dtype=np.uint8)
+        ends = np.flatnonzero(data == 32)[1:]
+        covered = np.cumsum(self.width[ids])
+        at = np.searchsorted(covered, ends) + 1
+        if int(covered[-1]) != len(data) - 1 or len(ends) != len(fresh):
+            raise ValueError("the ids do not cover the text: not a byte-level vocabulary")
+        first, total = len(self.known), self.used + len(ids)
+        if total > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(total, self.flat.dtype)))
+        if first + len(fresh) + 1 > len(self.begin):
+            self.begin = np.concatenate((self.begin, np.zeros(first + len(fresh), np.int64)))
+        self.flat[self.used : total] = ids
+        self.begin[first + 1 : first + len(fresh) + 1] = self.used + at
+        self.used = total
+        self.known = pa.concat_arrays([self.known, fresh])
+        out[todo] = np.arange(first, first + len(fresh))
         return out
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -99,23 +105,23 @@ class WordEncoder:
         offsets = np.asarray(split.offsets).astype(np.int64)
         coded = split.flatten().dictionary_encode()
         codes, values = np.asarray(coded.indices), coded.dictionary
-        words = values.to_pylist()
         odd = np.asarray(pc.match_substring_regex(values, r"^$|^[\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ]$").to_numpy(zero_copy_only=False), dtype=bool)
         counts = np.diff(offsets)
         whole = np.zeros(n, dtype=bool)
         if odd.any():
             whole = np.add.reduceat(odd[codes].astype(np.int64), offsets[:-1]) > 0
         # A text's first word has no space before it; a text with other white space counts as one word.
-        alone = self._whole([(texts[i] or "") if whole[i] else words[c] for i, c in enumerate(codes[offsets[:-1]].tolist())])
+        leads = values.take(pa.array(codes[offsets[:-1]])).to_pylist()
+        alone = self._whole([(texts[i] or "") if whole[i] else w for i, w in enumerate(leads)])
         if not whole.any():
-            used = np.arange(len(words))
+            used = np.arange(len(values))
         else:
-            seen = np.zeros(len(words), dtype=bool)
+            seen = np.zeros(len(values), dtype=bool)
             seen[codes[np.repeat(~whole, counts)]] = True
             used = np.flatnonzero(seen)
-        numbers = np.zeros(len(words), dtype=np.int64)
-        numbers[used] = self._numbers(words if len(used) == len(words) else [words[i] for i in used.tolist()])
-        begin, size = self.begin[numbers].astype(np.int32), np.zeros(len(words), dtype=np.int32)
+        numbers = np.zeros(len(values), dtype=np.int64)
+        numbers[used] = self._numbers(values if len(used) == len(values) else values.take(pa.array(used)))
+        begin, size = self.begin[numbers].astype(np.int32), np.zeros(len(values), dtype=np.int32)
         size[used] = self.begin[numbers[used] + 1] - begin[used]
         each = size[codes]
         each[np.repeat(whole, counts)] = 0
