@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.fm_index import FMIndex
-from concordat.llm.groups import ROW, row_key, runs, together
+from concordat.llm.groups import ROW, keyed_join, row_key, runs, together
 from concordat.llm.words import batch_hashes, rolled
 from concordat.storage import bounded_batches, discard, materialize, ship
 
@@ -101,7 +101,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     made = materialize(plain.where("doc is not null").mapInArrow(cut, f"row {ROW}, doc long, a {SEGMENTS}"), "repeat-anchors")
     every = made.select("row", "doc", F.inline("a"))
     shared = every.groupBy("h").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("h")
-    hits = materialize(every.join(shared, "h"), "repeat-hits")
+    hits = materialize(keyed_join(every, shared, ["h"], "row"), "repeat-hits")
     discard(spark, made)
     owners = hits.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "row", "s", "h")).alias("o"))
     owners = materialize(owners.select("k1", "k2", "n", "o.*"), "repeat-owners")
@@ -156,9 +156,9 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     answers = materialize(together(dealt, ["shard"]).mapInArrow(search, "k1 long, k2 long, n int, least array<long>"), "repeat-answers")
     discard(spark, pieces)
     alone = answers.where("n = -1").select(F.col("k1").alias("w"), F.col("least")[0].alias("m"))
-    rebuilt = spread.join(alone, "w", "left").groupBy("k1", "k2", "n").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", "doc").alias("m")))).alias("l"))
+    rebuilt = keyed_join(spread, alone, ["w"], "k1, k2, n", "left").groupBy("k1", "k2", "n").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", "doc").alias("m")))).alias("l"))
     known = answers.where("n >= 0").unionByName(rebuilt.select("k1", "k2", "n", F.col("l.m").alias("least")))
-    told = hits.join(known, ["k1", "k2", "n"]).select("row", F.expr("filter(transform(least, (m, i) -> if(m < doc, s + i, -1)), x -> x >= 0)").alias("x")).where("size(x) > 0")
+    told = keyed_join(hits, known, ["k1", "k2", "n"], "row, s").select("row", F.expr("filter(transform(least, (m, i) -> if(m < doc, s + i, -1)), x -> x >= 0)").alias("x")).where("size(x) > 0")
     out = materialize(told.groupBy("row").agg(F.flatten(F.collect_list("x")).alias("starts")), "repeat-starts")
     discard(spark, hits, segs, answers)
     return out

@@ -378,3 +378,17 @@ def test_batch_hashes_match_split():
     two = np.concatenate((np.array([77], np.uint64), one))
     for k in (1, 2, 5, 8, 13):
         assert (rolled(one, k) == rolled(two, k)[1:]).all() and len(set(rolled(one, k).tolist())) == 31 - k
+
+
+def test_keyed_join(spark):
+    rows = [(1 if i % 3 else i, i, f"r{i}") for i in range(3000)] + [(None, 5000, "null")]
+    df = spark.createDataFrame(rows, "h long, i int, row string").repartition(5)
+    facts = spark.createDataFrame([(k, k * 10) for k in range(0, 3000, 2)] + [(1, 10)], "h long, f long")
+    known = {h: f for h, f in facts.collect()}
+    for how in ("inner", "left"):
+        got = groups.keyed_join(df, facts, ["h"], "row", how)
+        assert got.columns == ["h", "i", "row", "f"]
+        want = sorted((i, known.get(h)) for h, i, _ in rows if how == "left" or h in known)
+        assert sorted((r.i, r.f) for r in got.collect()) == want
+    assert "__salt" in groups.keyed_join(df, facts, ["h"], "row")._jdf.queryExecution().optimizedPlan().toString()
+    assert groups.keyed_join(df.limit(0), facts, ["h"], "row").count() == 0
