@@ -106,7 +106,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     owners = hits.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "row", "s", "h")).alias("o"))
     owners = materialize(owners.select("k1", "k2", "n", "o.*"), "repeat-owners")
     many = owners.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > SPLIT_SEGMENTS).select("h", F.lit(True).alias("split"))
-    asked = owners.join(many, "h", "left").select("row", F.struct("k1", "k2", "n", "doc", "s", "h", F.coalesce("split", F.lit(False)).alias("split")).alias("seg"))
+    asked = keyed_join(owners, many, ["h"], "k1, k2, n", "left").select("row", F.struct("k1", "k2", "n", "doc", "s", "h", F.coalesce("split", F.lit(False)).alias("split")).alias("seg"))
     asked = asked.groupBy("row").agg(F.collect_list("seg").alias("segs"))  # a document's own segments
 
     def words_of(batches):
