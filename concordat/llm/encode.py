@@ -32,12 +32,15 @@ def _byte_lengths(tok) -> np.ndarray:
     out = np.zeros(tok.get_vocab_size(), dtype=np.int64)
     for piece, i in tok.get_vocab().items():
         out[i] = len(piece)
+    for i, added in tok.get_added_tokens_decoder().items():
+        out[i] = len(added.content.encode())
     return out
 
 
 class WordEncoder:
     """Encodes texts with a ``tokenizers`` file; text that looks like a special
-    token is ordinary text. Null counts as empty; an empty text has no ids.
+    token is ordinary text unless ``specials`` is set, which gives it the
+    token's id as the library does by itself. Null counts as empty; an empty text has no ids.
 
     Known words are numbered by their place in an Arrow array, so they take
     little more than their bytes; their ids lie in one growing array. Beyond
@@ -45,11 +48,13 @@ class WordEncoder:
     is bounded.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES, specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not specials
+        if any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in self.tok.get_added_tokens_decoder().values()):
+            raise ValueError("an added token reaches over spaces, where texts are cut")
         self.width = _byte_lengths(self.tok)
         self.cache_words, self.cache_bytes = cache_words, cache_bytes
         self._reset()
@@ -146,9 +151,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, specials: bool = False) -> WordEncoder:
     """One encoder for each worker process."""
-    return WordEncoder(path)
+    return WordEncoder(path, specials=specials)
 
 
 def slices(texts: list[str | None], max_chars: int = 4_000_000):

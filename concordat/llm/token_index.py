@@ -20,7 +20,8 @@ def write_index(docs: DataFrame, tokenizer: str, end_id: int, bits: int = 16, ro
 
     Returns the manifest (shard, part, n_docs, n_ids, path), a row for each
     file; files of one ``shard`` follow each other by ``part``, shards by number.
-    Null texts are empty and still get an end id. Null ids come first; repeated
+    Null texts are empty and still get an end id. A special token's own text gets
+    its id, as the library does. Null ids come first; repeated
     ids each keep a row, ordered by text. Columns other than these two are not
     read, so their names cannot clash. A shard is a range of ids; a file closes
     at about ``shard_ids`` ids, so memory does not grow with the input.
@@ -34,7 +35,7 @@ def write_index(docs: DataFrame, tokenizer: str, end_id: int, bits: int = 16, ro
         from pyspark import TaskContext
 
         shard, part = TaskContext.get().partitionId(), 0
-        enc = word_encoder(tokenizer)
+        enc = word_encoder(tokenizer, True)
         ids, lengths, owners, held = [], [], [], 0
 
         def flush():

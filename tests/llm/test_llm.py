@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from concordat.llm import decontaminate, encode, fm_index, groups, near_texts, near_vectors, pieces, quality, registry, substrings, token_index, token_scan, url_filter, warc, wavelet
 
@@ -54,13 +55,16 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
-def test_encoder_equals_library(texts):
-    e = encode.WordEncoder(encode.vocabulary_path(registry.BYTE_BPE), cache_words=500)
-    every = [t for _, t in texts]
+@pytest.mark.parametrize("specials", [False, True])
+def test_encoder_equals_library(texts, specials):
+    e = encode.WordEncoder(encode.vocabulary_path(registry.BYTE_BPE), cache_words=500, specials=specials)
+    tok = Tokenizer.from_file(encode.vocabulary_path(registry.BYTE_BPE))
+    tok.encode_special_tokens = not specials
+    every = [t for _, t in texts] + ["a<|endoftext|>b <|endoftext|> c", "<|endoftext|>", "x <|endoftext|><|endoftext|>y  z"]
     ids, n = e.encode(every, 9)
     at = 0
     for t, k in zip(every, n, strict=True):
-        assert ids[at : at + k].tolist() == [*e.tok.encode(t or "", add_special_tokens=False).ids, 9]
+        assert ids[at : at + k].tolist() == [*tok.encode(t or "", add_special_tokens=False).ids, 9]
         at += k
 
 
@@ -84,7 +88,7 @@ def test_wavelet_round_trip():
 def test_token_index(spark, docs, texts, empty):
     m = token_index.write_index(docs, encode.vocabulary_path(registry.BYTE_BPE), 2, shard_ids=700)
     got = token_index.read_index(m).orderBy("start").collect()
-    tok = encode.WordEncoder(encode.vocabulary_path(registry.BYTE_BPE)).tok
+    tok = Tokenizer.from_file(encode.vocabulary_path(registry.BYTE_BPE))
     order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
     at = 0
     for r, (i, t) in zip(got, order, strict=True):
