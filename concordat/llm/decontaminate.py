@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.groups import ROW, row_key
-from concordat.llm.words import rolled
+from concordat.llm.words import KEPT, MUL, mix, rolled
 from concordat.storage import bounded_batches, materialize, ship
 
 WINDOW = 8
@@ -44,19 +44,32 @@ NUM, UNIT, NAME = (np.uint64(xxhash.xxh3_64_intdigest(b"\x00" + k)) for k in (b"
 
 def _kind(word: str) -> tuple[int, int, int, bool]:
     """(hash of the bare word, kind, 1 if it ends a sentence, empty): kind 0 literal, 1 number, 2 unit, 3 capitalised."""
-    bare = OUTER.sub("", word)
+    bare = word if word.isalpha() else OUTER.sub("", word)
     low = bare.lower()
-    if not any(c.isalnum() for c in bare):
+    if not bare.isalnum() and not any(c.isalnum() for c in bare):
         return 0, 0, int(word[-1:] in ".!?"), True
     kind = 1 if NUMBER.fullmatch(bare) or low in NUMBER_WORDS else 2 if low in UNIT_WORDS else 3 if bare[:1].isupper() and not bare.isupper() else 0
     return xxhash.xxh3_64_intdigest(low.encode()), kind, int(word[-1:] in ".!?"), False
 
 
+class Kinds(dict):
+    """Kind of a word, kept for a bounded number of words."""
+
+    def __missing__(self, word: str) -> tuple[int, int, int, bool]:
+        if len(self) >= KEPT:
+            self.clear()
+        kind = self[word] = _kind(word)
+        return kind
+
+
+_kinds = Kinds()
+
+
 def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(template tokens, values, slots, bounds): hashes of tokens and of the bare words, and which are placeholders."""
     split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     coded = split.flatten().dictionary_encode()
-    info = [_kind(w) for w in coded.dictionary.to_pylist()]
+    info = [_kinds[w] for w in coded.dictionary.to_pylist()]
     codes = np.asarray(coded.indices)
     bounds = np.asarray(split.offsets).astype(np.int64)
     bounds -= bounds[0]
@@ -77,58 +90,77 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return token, value, (token == NUM) | (token == UNIT) | (token == NAME), bounds
 
 
-def windows(texts: pa.Array, sizes: list[int]):
-    """Yield (size, document, position in it, hash, first token's index, slots, values) of the windows of each size.
+class Wanted:
+    """Membership in a set of hashes: a table of their low bits sorts out most, a binary search decides."""
 
-    Windows with too few literal tokens name nothing in particular and are left out.
-    """
-    token, value, slot, bounds = templates(texts)
-    ends = np.repeat(bounds[1:], np.diff(bounds))
-    filled = np.concatenate(([0], np.cumsum(slot)))
-    for k in sizes:
-        h = rolled(token, k)
-        at = np.arange(len(h))
-        ok = (at + k <= ends[: len(h)]) & (filled[k:][: len(h)] - filled[: len(h)] <= k * (1 - LITERAL_SHARE))
-        at = at[ok]
-        doc = np.searchsorted(bounds, at, side="right") - 1
-        yield k, doc, at - bounds[doc], h[ok].view(np.int64), at, slot, value
-
-
-def _slots(at: np.ndarray, k: int, slot: np.ndarray, value: np.ndarray) -> pa.Array:
-    """The values in the slots of each window, as lists."""
-    grid = at[:, None] + np.arange(k)
-    hit = slot[grid] if len(at) else np.zeros((0, k), bool)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(hit.sum(axis=1)))).astype(np.int32)), pa.array(value[grid][hit].view(np.int64) if len(at) else np.zeros(0, np.int64)))
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.mask = np.int64((1 << max(16, (8 * len(hashes)).bit_length())) - 1)
+        self.seen = np.zeros(int(self.mask) + 1, dtype=bool)
+        self.seen[self.hashes & self.mask] = True
 
+    def among(self, h: np.ndarray) -> np.ndarray:
+        """Indices of the hashes in ``h`` that are in the set."""
+        at = np.flatnonzero(self.seen[h & self.mask])
+        i = np.searchsorted(self.hashes, h[at])
+        i[i == len(self.hashes)] = 0
+        return at[self.hashes[i] == h[at]] if len(self.hashes) else at
 
-FOUND = f"id {ROW}, size int, pos int, h long, slots array<long>"
 
+def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
+    """Yield (size, document, position in it, hash, slots, same) of windows; ``sizes`` None: of the one size each text needs as an item.
 
-def _windows_of(sizes: list[int] | None, wanted: np.ndarray | None):
-    """A mapInArrow function over (id, text); ``sizes`` None: what each text itself needs as an item."""
+    What stands before a window decides whether its first word is taken for a
+    name or unit, so such a window is hashed with its first word as a literal
+    too; ``same`` has the words that are equal by the hash itself though they
+    are slots elsewhere. Windows with too few literal tokens name nothing in
+    particular and are left out.
+    """
+    token, value, slot, bounds = templates(texts)
+    length = np.diff(bounds)
+    ends = np.repeat(bounds[1:], length)
+    filled = np.concatenate(([0], np.cumsum(slot)))
+    unsure = slot & (token != NUM)
+    for k in sorted({int(min(WINDOW, x)) for x in length if x >= LEAST_ITEM}) if sizes is None else sizes:
+        tail = rolled(token[1:], k - 1)
+        n = len(tail)
+        fits = np.arange(k, n + k) <= ends[:n]
+        if sizes is None:
+            fits &= np.repeat(np.minimum(length, WINDOW), length)[:n] == k
+        slots = filled[k:][:n] - filled[:n]
+        for literal in (False, True):
+            ok = fits & (slots - literal <= k * (1 - LITERAL_SHARE))
+            at = np.flatnonzero(ok & unsure[:n] if literal else ok)
+            h = mix((value if literal else token)[at] * MUL + tail[at]).view(np.int64)
+            if wanted is not None:
+                hit = wanted.among(h)
+                at, h = at[hit], h[hit]
+            if len(at):
+                doc = np.searchsorted(bounds, at, side="right") - 1
+                grid = at[:, None] + np.arange(k)
+                hole, first = slot[grid], np.arange(k) == 0
+                yield k, doc, at - bounds[doc], h, _lists(value[grid], hole & ~(first & literal)), _lists(value[grid], hole & (first & literal))
+
+
+def _lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:
+    """The chosen values of each row, as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(chosen.sum(axis=1)))).astype(np.int32)), pa.array(values[chosen].view(np.int64)))
+
+
+FOUND = f"id {ROW}, size int, pos int, h long, slots array<long>, same array<long>"
+
+
+def _windows_of(sizes: list[int] | None, hashes: np.ndarray | None):
+    """A mapInArrow function over (id, text); ``sizes`` None: what each text itself needs as an item, with its number of words as size."""
 
     def run(batches):
+        wanted = None if hashes is None else Wanted(hashes)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            use = sizes
-            length = None
-            if sizes is None:
-                length = np.diff(templates(texts)[3])
-                use = sorted({int(min(WINDOW, x)) for x in length if x >= LEAST_ITEM})
-            for k, doc, pos, h, at, slot, value in windows(texts, use):
-                ok = np.ones(len(h), dtype=bool)
-                if length is not None:
-                    ok &= np.minimum(length[doc], WINDOW) == k
-                if wanted is not None:
-                    i = np.searchsorted(wanted, h)
-                    i[i == len(wanted)] = 0
-                    ok &= (wanted[i] == h) if len(wanted) else False
-                if ok.any():
-                    own = ids.take(pa.array(doc[ok]))
-                    size = np.full(int(ok.sum()), k if length is None else 0, dtype=np.int32)
-                    if length is not None:
-                        size = length[doc[ok]].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([own, pa.array(size), pa.array(pos[ok].astype(np.int32)), pa.array(h[ok]), _slots(at[ok], k, slot, value)], names=["id", "size", "pos", "h", "slots"])
+            length = np.diff(templates(texts)[3]) if sizes is None else None
+            for k, doc, pos, h, slots, same in windows(texts, sizes, wanted):
+                size = np.full(len(doc), k) if length is None else length[doc]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(size.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(h), slots, same], names=["id", "size", "pos", "h", "slots", "same"])
 
     return run
 
@@ -155,7 +187,7 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     distinct = theirs.select("h").distinct()
     wanted = None
     if distinct.count() <= filter_windows:
-        wanted = np.sort(np.array([r["h"] for r in distinct.collect()], dtype=np.int64))
+        wanted = np.array([r["h"] for r in distinct.collect()], dtype=np.int64)
     sizes = sorted(r["k"] for r in theirs.select(F.least("size", F.lit(WINDOW)).alias("k")).distinct().collect()) or [WINDOW]
     rows = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     ours = rows.select("row", "text").mapInArrow(_windows_of(sizes, wanted), FOUND).select(F.col("id").alias("row"), F.col("size").alias("k"), F.col("pos").alias("at"), "h", F.col("slots").alias("mine"))
@@ -163,7 +195,7 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     line = met.groupBy("row", "id", "size", (F.col("at") - F.col("pos")).alias("shift")).agg(
         F.collect_set("pos").alias("pos"),
         # A passage may lie on one alignment only once, so these lists are no longer than the item.
-        F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("slots").alias("theirs"), F.col("mine").alias("mine"))))).alias("pairs"),
+        F.array_distinct(F.flatten(F.collect_list(F.expr("concat(zip_with(slots, mine, (t, m) -> struct(t as theirs, m as mine)), transform(same, s -> struct(s as theirs, s as mine)))")))).alias("pairs"),
     )
     steady = line.where("size(pairs) = size(array_distinct(transform(pairs, p -> p.theirs)))")
     whole = steady.groupBy("row", "id", "size").agg(F.array_distinct(F.flatten(F.collect_set("pos"))).alias("pos"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))

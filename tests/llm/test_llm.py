@@ -258,6 +258,20 @@ def test_decontaminate(spark, docs, empty):
     assert decontaminate.find(empty, b).count() == 0 and decontaminate.find(docs, b.where("false")).count() == 0
 
 
+def leaks(spark, pairs):
+    """(index of the pair, n_covered, n_words, reworded) of the pairs (item, document) in which the document leaks the item."""
+    d = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(pairs)], "doc_id long, text string")
+    b = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(pairs)], "item_id long, text string")
+    return [(r["doc_id"], r["n_covered"], r["n_words"], r["reworded"]) for r in decontaminate.find(d, b).where("doc_id = item_id").orderBy("doc_id").collect()]
+
+
+def test_decontaminate_first_word(spark):
+    short, longer = "What is the capital of France?", "Which river flows through the old city of Vienna and then on?"
+    unit = "Minutes were taken at the last meeting"
+    got = leaks(spark, [(short, f"Question: {short}"), (longer, f'Heading\n"{longer}"'), (short, f"What? {short}"), (unit, f"Question 7: {unit}"), ("Name of 3 red cars there", "Question: Name of 5 red cars there"), (short, "Question: Who is the capital of France?")])
+    assert got == [(0, 6, 6, False), (1, 12, 12, False), (2, 6, 6, False), (3, 7, 7, False), (4, 6, 6, True)]
+
+
 def test_quality(spark):
     d, lab = registry.table(spark, "/root/testdata/sf0.01", "documents"), registry.table(spark, "/root/testdata/sf0.01", "labels")
     got = quality.classify(d, lab).join(lab, "doc_id").where("held_out").toPandas()
