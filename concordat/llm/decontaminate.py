@@ -112,15 +112,18 @@ def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
 
     What stands before a window decides whether its first word is taken for a
     name or unit, so such a window is hashed with its first word as a literal
-    too; ``same`` has the words that are equal by the hash itself though they
-    are slots elsewhere. Windows with too few literal tokens name nothing in
-    particular and are left out.
+    too. Every window with slots is also hashed with all its words as literals,
+    so a verbatim copy is found whatever its words are taken for. ``same`` has
+    the words that are equal by the hash itself though they are slots elsewhere.
+    A template with too few literal tokens names nothing in particular: such
+    windows match verbatim only.
     """
     token, value, slot, bounds = templates(texts)
     length = np.diff(bounds)
     ends = np.repeat(bounds[1:], length)
     filled = np.concatenate(([0], np.cumsum(slot)))
     unsure = slot & (token != NUM)
+    every = np.arange(WINDOW)
     for k in sorted({int(min(WINDOW, x)) for x in length if x >= LEAST_ITEM}) if sizes is None else sizes:
         tail = rolled(token[1:], k - 1)
         n = len(tail)
@@ -128,18 +131,25 @@ def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
         if sizes is None:
             fits &= np.repeat(np.minimum(length, WINDOW), length)[:n] == k
         slots = filled[k:][:n] - filled[:n]
-        for literal in (False, True):
-            ok = fits & (slots - literal <= k * (1 - LITERAL_SHARE))
-            at = np.flatnonzero(ok & unsure[:n] if literal else ok)
-            h = mix((value if literal else token)[at] * MUL + tail[at]).view(np.int64)
+        few = k * (1 - LITERAL_SHARE)
+        bare = rolled(value[1:], k - 1)
+        # (windows, first word, hash of the others, words that are equal by the hash)
+        forms = (
+            (fits & (slots <= few), token, tail, every < 0),
+            (fits & (slots - 1 <= few) & unsure[:n], value, tail, every < 1),
+            (fits & (slots > 0), value, bare, every >= 0),
+        )
+        for ok, head, rest, equal in forms:
+            at = np.flatnonzero(ok)
+            h = mix(head[at] * MUL + rest[at]).view(np.int64)
             if wanted is not None:
                 hit = wanted.among(h)
                 at, h = at[hit], h[hit]
             if len(at):
                 doc = np.searchsorted(bounds, at, side="right") - 1
                 grid = at[:, None] + np.arange(k)
-                hole, first = slot[grid], np.arange(k) == 0
-                yield k, doc, at - bounds[doc], h, _lists(value[grid], hole & ~(first & literal)), _lists(value[grid], hole & (first & literal))
+                hole, words = slot[grid], value[grid]
+                yield k, doc, at - bounds[doc], h, _lists(words, hole & ~equal[:k]), _lists(words, hole & equal[:k])
 
 
 def _lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:

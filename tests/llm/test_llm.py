@@ -272,6 +272,12 @@ def test_decontaminate_first_word(spark):
     assert got == [(0, 6, 6, False), (1, 12, 12, False), (2, 6, 6, False), (3, 7, 7, False), (4, 6, 6, True)]
 
 
+def test_decontaminate_many_slots(spark):
+    primes, sums = "The first primes are 2 3 5 7 11 13 17 19 23 29 31 37", "Compute 12 + 7 * 3 - 4 + 9 when x is 5 and y is 6"
+    got = leaks(spark, [(primes, f"So {primes} and so on"), (sums, f"Task: {sums}"), (primes, "So The first primes are 3 3 5 7 11 13 17 19 23 29 31 37"), (primes, "The first primes are 1 4 6 8 9 10 12 14 15 16 18 20")])
+    assert got == [(0, 16, 16, False), (1, 14, 14, False), (2, 16, 16, True)]
+
+
 def test_quality(spark):
     d, lab = registry.table(spark, "/root/testdata/sf0.01", "documents"), registry.table(spark, "/root/testdata/sf0.01", "labels")
     got = quality.classify(d, lab).join(lab, "doc_id").where("held_out").toPandas()
