@@ -3,9 +3,11 @@
 Words become template tokens: numbers, units after numbers and names turn into
 typed placeholders, all else is lower-cased without outer punctuation. Windows
 of template tokens are hashed and joined with those of the benchmark. On each
-alignment of a document with an item the slots must be consistent: one value
-of the item always stands for one value of the document. So verbatim passages
-are found, and questions with other numbers or names.
+alignment of a document with an item the names must be consistent: one name of
+the item always stands for one name of the document, else windows with that
+name count only where they are verbatim. Equal numbers and units may be
+independent quantities and may differ. So verbatim passages are found, and
+questions with other numbers or names.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.groups import ROW, row_key
@@ -116,13 +118,14 @@ def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
     so a verbatim copy is found whatever its words are taken for. ``same`` has
     the words that are equal by the hash itself though they are slots elsewhere.
     A template with too few literal tokens names nothing in particular: such
-    windows match verbatim only.
+    windows match verbatim only. The lowest bit of a slot's value tells names.
     """
     token, value, slot, bounds = templates(texts)
     length = np.diff(bounds)
     ends = np.repeat(bounds[1:], length)
     filled = np.concatenate(([0], np.cumsum(slot)))
     unsure = slot & (token != NUM)
+    coded = (value & ~np.uint64(1)) | (token == NAME)
     every = np.arange(WINDOW)
     for k in sorted({int(min(WINDOW, x)) for x in length if x >= LEAST_ITEM}) if sizes is None else sizes:
         tail = rolled(token[1:], k - 1)
@@ -148,7 +151,7 @@ def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
             if len(at):
                 doc = np.searchsorted(bounds, at, side="right") - 1
                 grid = at[:, None] + np.arange(k)
-                hole, words = slot[grid], value[grid]
+                hole, words = slot[grid], coded[grid]
                 yield k, doc, at - bounds[doc], h, _lists(words, hole & ~equal[:k]), _lists(words, hole & equal[:k])
 
 
@@ -157,6 +160,26 @@ def _lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(chosen.sum(axis=1)))).astype(np.int32)), pa.array(values[chosen].view(np.int64)))
 
 
+def _passages(line: DataFrame) -> DataFrame:
+    """Alignments with the windows (pos, pairs) that count.
+
+    With consistent names all do. Else the verbatim ones and those without a
+    name at odds are left, and of these the passages that are long enough each
+    by itself, so that pieces between the contradictions do not add up.
+    """
+    k, least = F.least("size", F.lit(WINDOW)), F.least("size", F.lit(LEAST_COVER))
+    windows, names, odd, kept, pos = (F.col(c) for c in ("windows", "names", "odd", "kept", "pos"))
+    line = line.withColumn("names", F.array_sort(F.transform(F.array_distinct(F.filter(F.flatten(windows["pairs"]), lambda p: p["theirs"].bitwiseAND(1) == 1)), lambda p: p["theirs"])))
+    line = line.withColumn("odd", F.array_distinct(F.filter(names, lambda n, i: (i > 0) & (F.get(names, i - 1) == n))))
+    line = line.withColumn("kept", F.filter(windows, lambda w: ~F.arrays_overlap(w["pairs"]["theirs"], odd) | F.forall(w["pairs"], lambda p: p["theirs"] == p["mine"])))
+    line = line.withColumn("pos", F.array_sort(F.array_distinct(kept["pos"])))
+    starts = F.filter(pos, lambda p, i: (i == 0) | (p > F.get(pos, i - 1) + k))
+    stops = F.filter(pos, lambda p, i: (i == F.size(pos) - 1) | (F.get(pos, i + 1) > p + k))
+    long = F.filter(F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda s: s["b"] + k - s["a"] >= least)
+    passages = F.flatten(F.transform(long, lambda s: F.filter(kept, lambda w: w["pos"].between(s["a"], s["b"]))))
+    return line.select("row", "id", "size", F.when(F.size(odd) == 0, windows).otherwise(passages).alias("windows"))
+
+
 FOUND = f"id {ROW}, size int, pos int, h long, slots array<long>, same array<long>"
 
 
@@ -178,8 +201,10 @@ def _windows_of(sizes: list[int] | None, hashes: np.ndarray | None):
 def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WINDOWS) -> DataFrame:
     """(row, doc_id, item_id, n_windows, n_covered, n_words, n_slots, reworded) of each leak.
 
-    A document leaks an item if windows with consistent slots cover at least
-    ``LEAST_COVER`` of the item's words, or the whole item if it is shorter.
+    A document leaks an item if windows with consistent names cover at least
+    ``LEAST_COVER`` of the item's words, or the whole item if it is shorter; on
+    an alignment where names contradict each other, its passages must do so
+    each by itself (:func:`_passages`).
     ``reworded``: slots hold other values than the item's. Items of fewer than
     ``LEAST_ITEM`` words and null texts match nothing; null ids are carried
     along; repeated items and rows are each reported. ``row`` is the row's
@@ -202,13 +227,11 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     rows = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     ours = rows.select("row", "text").mapInArrow(_windows_of(sizes, wanted), FOUND).select(F.col("id").alias("row"), F.col("size").alias("k"), F.col("pos").alias("at"), "h", F.col("slots").alias("mine"))
     met = ours.join(theirs, "h").where(F.least("size", F.lit(WINDOW)) == F.col("k"))
-    line = met.groupBy("row", "id", "size", (F.col("at") - F.col("pos")).alias("shift")).agg(
-        F.collect_set("pos").alias("pos"),
-        # A passage may lie on one alignment only once, so these lists are no longer than the item.
-        F.array_distinct(F.flatten(F.collect_list(F.expr("concat(zip_with(slots, mine, (t, m) -> struct(t as theirs, m as mine)), transform(same, s -> struct(s as theirs, s as mine)))")))).alias("pairs"),
-    )
-    steady = line.where("size(pairs) = size(array_distinct(transform(pairs, p -> p.theirs)))")
-    whole = steady.groupBy("row", "id", "size").agg(F.array_distinct(F.flatten(F.collect_set("pos"))).alias("pos"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    met = met.select("row", "id", "size", (F.col("at") - F.col("pos")).alias("shift"), "pos", F.expr("concat(zip_with(slots, mine, (t, m) -> struct(t as theirs, m as mine)), transform(same, s -> struct(s as theirs, s as mine)))").alias("pairs"))
+    # A passage may lie on one alignment only once, so these lists are no longer than the item's hashes.
+    line = met.groupBy("row", "id", "size", "shift").agg(F.collect_set(F.struct("pos", "pairs")).alias("windows"))
+    steady = _passages(line).where("size(windows) > 0")
+    whole = steady.groupBy("row", "id", "size").agg(F.array_distinct(F.flatten(F.collect_set("windows.pos"))).alias("pos"), F.array_distinct(F.flatten(F.flatten(F.collect_set("windows.pairs")))).alias("pairs"))
     covered = F.expr(f"size(array_distinct(flatten(transform(pos, p -> sequence(p, p + least(size, {WINDOW}) - 1)))))")
     leaks = whole.withColumn("n_covered", covered).where(F.col("n_covered") >= F.least("size", F.lit(LEAST_COVER)))
     leaks = leaks.select(

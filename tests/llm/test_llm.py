@@ -278,6 +278,17 @@ def test_decontaminate_many_slots(spark):
     assert got == [(0, 16, 16, False), (1, 14, 14, False), (2, 16, 16, True)]
 
 
+def test_decontaminate_contradictions(spark):
+    part = "Every morning old Tom Baker walks along the quiet river with 3 dogs and later he feeds the birds near the wooden bridge"
+    rest = "before a friend of the family called Tom arrives by train with 3 parcels from the northern coast"
+    other = rest.replace("Tom", "Bob").replace("3", "5")
+    both = "Please work out how much fruit is eaten when children eat 2 apples for 2 days and nothing else"
+    names = "Please work out how much fruit is eaten when Tom and Tom eat apples for days and nothing else"
+    got = leaks(spark, [(f"{part} {rest}", f"so {part} {rest.replace('3', '5')}"), (f"{part} {rest}", f"so {part} {other}"), (both, both.replace("2 apples", "3 apples").replace("2 days", "4 days")), (names, names.replace("Tom and Tom", "Ann and Bob"))])
+    assert [(i, reworded) for i, _, _, reworded in got] == [(0, True), (1, False), (2, True)]
+    assert got[0][1] == got[0][2] and 23 <= got[1][1] and got[2][1] == 19
+
+
 def test_quality(spark):
     d, lab = registry.table(spark, "/root/testdata/sf0.01", "documents"), registry.table(spark, "/root/testdata/sf0.01", "labels")
     got = quality.classify(d, lab).join(lab, "doc_id").where("held_out").toPandas()
