@@ -2,7 +2,7 @@
 
 Per host the paths form a tree. Segments that look variable (numbers, dates,
 identifiers) become typed wildcards at once; a node with many children keeps
-only the frequent ones as text and folds the rest into ``*``. Sibling templates
+only wildcards and the frequent ones and folds the rest into ``*``. Sibling templates
 whose labelled rates do not differ significantly are merged. A template is
 rejected if its smoothed share of bad labels is high, where the host's own
 smoothed share is the prior of its templates and the corpus' share that of the
@@ -24,6 +24,7 @@ SIMILAR_Z = 1.28
 PRIOR_WEIGHT = 10.0
 REJECT_PURITY = 0.5
 MAX_RULES = 1000
+WILDCARD = r"^\{(n|date|id)\}(\.[A-Za-z]{1,5})?$"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -89,7 +90,7 @@ def fit(urls: DataFrame) -> DataFrame:
         seg = F.get(F.col("segs"), F.lit(d))
         kids = cur.where(seg.isNotNull()).groupBy("host", "prefix", seg.alias("seg")).agg(F.sum("n").alias("c"))
         nodes = kids.groupBy("host", "prefix").agg(F.sum("c").alias("t"), F.count("*").alias("f")).where(F.col("f") > FAN_OUT)
-        fold = kids.join(nodes, ["host", "prefix"]).where((F.col("c") < FREQUENT * F.col("t")) & ~F.col("seg").startswith("{")).select("host", "prefix", "seg", F.lit("*").alias("as"))
+        fold = kids.join(nodes, ["host", "prefix"]).where((F.col("c") < FREQUENT * F.col("t")) & ~F.col("seg").rlike(WILDCARD)).select("host", "prefix", "seg", F.lit("*").alias("as"))
         step = cur.withColumn("seg", seg).join(fold, ["host", "prefix", "seg"], "left")
         cur = materialize(step.withColumn("prefix", F.when(F.col("seg").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), F.coalesce("as", "seg")))).drop("seg", "as"), "url-level")
     leaves = cur.groupBy("host", F.col("prefix").alias("template")).agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("b").alias("b"))
@@ -106,7 +107,7 @@ def fit(urls: DataFrame) -> DataFrame:
                 kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "template", "gk", "gb"])
 
-    # A node has at most FAN_OUT children or 1 / FREQUENT frequent ones, wildcards besides, so a list is short.
+    # A node has at most FAN_OUT children or 1 / FREQUENT frequent ones, pure wildcards (one for each ending) besides, so a list is short.
     pooled = siblings.select("host", "kids").mapInArrow(merged, "host string, template string, gk long, gb long")
     hosts = leaves.groupBy("host").agg(F.sum("k").alias("hk"), F.sum("b").alias("hb"))
     total = leaves.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()

@@ -386,6 +386,15 @@ def test_url_templates(spark):
     assert len(url_filter.merge_similar([("a", 50, 25), ("b", 50, 26), ("c", 50, 1)])) == 2
 
 
+def test_url_slugs_with_numbers(spark):
+    spam = [(i, f"http://s.net/spam/{10000 + i}-title-{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}", 1 if i % 2 else None) for i in range(60)]
+    news = [(100 + i, f"http://s.net/news/{i}{'.html' if i < 3 else ''}", 0) for i in range(120)]
+    pages = spark.createDataFrame([(i, u) for i, u, _ in spam + news], "page_id long, url string")
+    labelled = spark.createDataFrame([(u, bool(b)) for _, u, b in spam + news if b is not None], "url string, bad boolean")
+    got = {r["page_id"]: (r["verdict"], r["template"]) for r in url_filter.judge(pages, labelled, ()).collect()}
+    assert {got[i] for i, _, _ in spam} == {("block", "/spam/*")} and {got[i] for i, _, _ in news} == {("allow", "/news/{n}"), ("allow", "/news/{n}.html")}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
