@@ -138,11 +138,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def discard(spark: SparkSession, *tables: DataFrame) -> None:
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables written by :func:`materialize` that no later plan reads."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in {f.rpartition("/")[0] for t in tables for f in t.inputFiles()}:
         if "/concordat/" in path:
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(conf).delete(p, True)
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """:func:`drop` them, and their shuffle files too."""
+    drop(spark, *tables)
     release(spark)
