@@ -9,15 +9,17 @@ other runs of white space go to the library whole.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 1_000_000
-CACHE_BYTES = 32_000_000
+from concordat.llm.memory import kept
+
+CACHE_WORDS = 400_000
+CACHE_BYTES = 16_000_000
+ENCODE_BYTES = 2 << 20
 STRING_WORDS = 64
 
 
@@ -101,13 +103,15 @@ class WordEncoder:
         out[todo] = np.arange(first, first + len(fresh))
         return out
 
-    def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids as one uint32 array, and the number of ids of each text."""
         n = len(texts)
         if not n:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        split = pc.split_pattern(pc.fill_null(pa.array(texts, pa.large_string()), ""), " ")
+        texts = pc.fill_null(texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), "")
+        split = pc.split_pattern(texts, " ")
         offsets = np.asarray(split.offsets).astype(np.int64)
+        offsets -= offsets[0]
         coded = split.flatten().dictionary_encode()
         codes, values = np.asarray(coded.indices), coded.dictionary
         odd = np.asarray(pc.match_substring_regex(values, r"^$|^[\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ]$").to_numpy(zero_copy_only=False), dtype=bool)
@@ -117,7 +121,7 @@ class WordEncoder:
             whole = np.add.reduceat(odd[codes].astype(np.int64), offsets[:-1]) > 0
         # A text's first word has no space before it; a text with other white space counts as one word.
         leads = values.take(pa.array(codes[offsets[:-1]])).to_pylist()
-        alone = self._whole([(texts[i] or "") if whole[i] else w for i, w in enumerate(leads)])
+        alone = self._whole([texts[i].as_py() if whole[i] else w for i, w in enumerate(leads)])
         if not whole.any():
             used = np.arange(len(values))
         else:
@@ -150,20 +154,6 @@ class WordEncoder:
         return out, lengths
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str, specials: bool = False) -> WordEncoder:
     """One encoder for each worker process."""
-    return WordEncoder(path, specials=specials)
-
-
-def slices(texts: list[str | None], max_chars: int = 4_000_000):
-    """Ranges of ``texts`` of bounded total length (one long text is a range of its own)."""
-    start, total = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > start and total + n > max_chars:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(texts):
-        yield start, len(texts)
+    return kept(("encoder", path, specials), lambda: WordEncoder(path, specials=specials))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.llm import wavelet
-from concordat.llm.encode import word_encoder, slices
+from concordat.llm.encode import ENCODE_BYTES, word_encoder
+from concordat.llm.memory import give_back, sliced
 from concordat.storage import bounded_batches, materialize, open_input, scratch, ship, write_bytes
 
 SHARD_IDS = 2_000_000
@@ -30,6 +31,7 @@ def write_index(docs: DataFrame, tokenizer: str, end_id: int, bits: int = 16, ro
     ship(spark)
     bounded_batches(spark)
     root = root or scratch(spark, "token-index")
+    kind = np.uint16 if bits <= 16 else np.uint32
 
     def write(batches):
         from pyspark import TaskContext
@@ -44,25 +46,26 @@ def write_index(docs: DataFrame, tokenizer: str, end_id: int, bits: int = 16, ro
             write_bytes(path, wavelet.build(np.concatenate(ids), owners, np.concatenate(lengths), bits))
             row = pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "part": pa.array([part], pa.int64()), "n_docs": pa.array([len(owners)], pa.int64()), "n_ids": pa.array([held], pa.int64()), "path": pa.array([path])})
             part, ids, lengths, owners, held = part + 1, [], [], [], 0
+            give_back()
             return row
 
         for batch in batches:
-            texts, owner = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for a, b in slices(texts):
-                got, n = enc.encode(texts[a:b], end_id)
-                ids.append(got)
-                lengths.append(n)
-                owners += owner[a:b]
-                held += len(got)
-                if held >= shard_ids:
-                    yield flush()
+            got, n = enc.encode(batch.column(1), end_id)
+            if len(got) and int(got.max()) >> bits:
+                raise ValueError(f"an id needs more than {bits} bits")
+            ids.append(got.astype(kind))
+            lengths.append(n)
+            owners += batch.column(0).to_pylist()
+            held += len(got)
+            if held >= shard_ids:
+                yield flush()
         if owners:
             yield flush()
 
     ordered = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = ordered.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(write, MANIFEST), "token-manifest")
+    return materialize(ordered.mapInArrow(sliced(1, write, ENCODE_BYTES), MANIFEST), "token-manifest")
 
 
 def read_index(manifest: DataFrame) -> DataFrame:

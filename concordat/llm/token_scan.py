@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.encode import word_encoder, slices
+from concordat.llm.encode import ENCODE_BYTES, word_encoder
+from concordat.llm.memory import sliced
 from concordat.storage import AtomicWriter, bounded_batches, file_size, materialize, open_input, scratch, ship
 
 BLOCK_IDS = 1 << 20
@@ -42,18 +43,17 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, width: int = 2, roo
         rows = []
         with AtomicWriter(path) as out:
             for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for a, b in slices(texts):
-                    ids, _ = enc.encode(texts[a:b], end_id)
-                    if len(ids) and int(ids.max()) >> (8 * width):
-                        raise ValueError(f"an id needs more than {width} bytes")
-                    out.write(ids.astype(kind).tobytes())
-                rows.append(pa.RecordBatch.from_arrays([pa.array([path] * len(texts)), pa.array(range(done, done + len(texts)), pa.int64()), batch.column(0)], names=["path", "ordinal", "doc_id"]))
-                done += len(texts)
+                n = batch.num_rows
+                ids, _ = enc.encode(batch.column(1), end_id)
+                if len(ids) and int(ids.max()) >> (8 * width):
+                    raise ValueError(f"an id needs more than {width} bytes")
+                out.write(ids.astype(kind).tobytes())
+                rows.append(pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array(range(done, done + n), pa.int64()), batch.column(0)], names=["path", "ordinal", "doc_id"]))
+                done += n
         yield from rows
 
     plain = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return materialize(plain.mapInArrow(write, "path string, ordinal long, doc_id long"), "flat-order")
+    return materialize(plain.mapInArrow(sliced(1, write, ENCODE_BYTES), "path string, ordinal long, doc_id long"), "flat-order")
 
 
 def scan_separators(spark: SparkSession, paths: DataFrame, end_id: int, width: int = 2, block_ids: int = BLOCK_IDS) -> DataFrame:
