@@ -16,10 +16,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concordat.llm.memory import sliced
 from concordat.storage import bounded_batches, ship
 
 SAMPLE_PER_CLASS = 3000
-SAMPLE_BYTES = 32_768
+SAMPLE_BYTES = 16_000_000
+PIECE = 2048
+LEAST_PIECES = 8  # fewer can't be trained on
 DICTIONARY_BYTES = 112_640
 PIECES = (512, 2048)
 LEVEL = 3
@@ -31,7 +34,6 @@ class Model:
     """Dictionaries (bad, good) as bytes, and the calibration's weights."""
 
     dictionaries: tuple[bytes, bytes]
-    trained: tuple[bool, bool]
     weights: tuple[float, ...]
     constant: float | None = None
 
@@ -39,8 +41,8 @@ class Model:
 class Sizer:
     def __init__(self, model: Model):
         self.packs = []
-        for data, trained in zip(model.dictionaries, model.trained, strict=True):
-            d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
+        for data in model.dictionaries:
+            d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_FULLDICT)
             d.precompute_compress(level=LEVEL)
             self.packs.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False))
 
@@ -57,12 +59,10 @@ class Sizer:
         return out
 
 
-def _dictionary(texts: list[str]) -> tuple[bytes, bool]:
-    pieces = [d[i : i + 2048] for t in texts for d in [t.encode()] for i in range(0, len(d), 2048)]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes(), True
-    except zstandard.ZstdError:  # too little text: it is the dictionary itself
-        return b"".join(pieces)[-DICTIONARY_BYTES:], False
+def _dictionary(texts: list[str]) -> bytes:
+    """A trained dictionary; pieces are repeated where there are fewer than training takes."""
+    pieces = [d[i : i + PIECE] for t in texts for d in [t.encode()] for i in range(0, len(d), PIECE)]
+    return zstandard.train_dictionary(DICTIONARY_BYTES, pieces * -(-LEAST_PIECES // len(pieces))).as_bytes()
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -83,30 +83,45 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 SCALE = 20.0
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Learn from labelled rows whose crc32(doc_id as text) mod 5 is not 0.
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[list[str]], dict[int, int]]:
+    """(whole texts of either class, how many training labels each class has).
 
-    The sample is bounded: of each class the ``per_class`` ids with the least
-    hash, at most ``SAMPLE_BYTES`` of each text. Half of it makes the
-    dictionaries, the other half calibrates, weighted by how often each class
-    occurs among all training labels. Ids with null, other or contradicting
-    labels are not used; repeated labels count once. Without labels of both
-    classes the score is the one class, or 0.5 without any.
+    Of each class the ``per_class`` ids with the least hash, as long as their
+    texts together are within ``most_bytes``; no text is cut. Of rows that
+    repeat an id the text with the least hash counts. Ids with null, other or
+    contradicting labels are not used; repeated labels count once. Null and
+    empty texts teach nothing and are left out.
     """
     usable = labels.where("doc_id is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
     one = usable.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most")).where("q = most and q in (0, 1)").select("doc_id", "q")
     counts = {r["q"]: r["n"] for r in one.groupBy("q").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
-        return Model((b"", b""), (False, False), (), constant=float(next(iter(counts))) if counts else 0.5)
     picked = [one.where(F.col("q") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for q in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * per_class rows
-    text = F.substring(F.coalesce(docs["text"], F.lit("")), 1, SAMPLE_BYTES)
-    rows = docs.select("doc_id", text.alias("text")).join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * per_class).collect()
-    by = [[r["text"] for r in rows if r["q"] == q] for q in (0, 1)]
+    rows = docs.select(docs["doc_id"], docs["text"]).where("text <> ''").join(ids, "doc_id").groupBy("doc_id", "q").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    by: list[list[str]] = [[], []]
+    room, full = [most_bytes, most_bytes], [False, False]
+    for r in rows.select("q", F.col("t.text").alias("text"), F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").toLocalIterator():
+        q, n = r["q"], len(r["text"].encode())
+        full[q] = full[q] or n > room[q]
+        if not full[q]:
+            by[q].append(r["text"])
+            room[q] -= n
+    return by, counts
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> Model:
+    """Learn from labelled rows whose crc32(doc_id as text) mod 5 is not 0.
+
+    The :func:`sample` is bounded by rows and bytes. Half of it makes the
+    dictionaries, the other half calibrates, weighted by how often each class
+    occurs among all training labels. Without text of both classes the score is
+    the share of good labels, or 0.5 without any.
+    """
+    by, counts = sample(docs, labels, per_class, most_bytes)
     if not all(by):
-        return Model((b"", b""), (False, False), (), constant=counts[1] / sum(counts.values()))
+        return Model((b"", b""), (), constant=counts.get(1, 0) / sum(counts.values()) if counts else 0.5)
     made = [_dictionary(t[::2]) for t in by]
-    model = Model((made[0][0], made[1][0]), (made[0][1], made[1][1]), ())
+    model = Model((made[0], made[1]), ())
     sizer = Sizer(model)
     held = [t[1::2] or t for t in by]
     x = np.array([sizer.features(t) for ts in held for t in ts]) * SCALE
@@ -138,7 +153,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 p = 1 / (1 + np.exp(-np.clip(model.weights[0] + x @ np.array(model.weights[1:]), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], names=["doc_id", "score"])
 
-    scored = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, "doc_id long, score double")
+    scored = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(sliced(1, run), "doc_id long, score double")
     held = F.coalesce(F.expr("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0"), F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -150,7 +165,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that the classifier does not reject, with their own columns.
 
-    The verdict is computed on the row itself, so repeated ids need no join.
+    The verdict is computed on the row itself, so repeated ids need no join and
+    repeated rows share a verdict. Null and empty texts get the calibration's
+    score for no difference; other columns are carried along whatever their names.
     """
     model = fit(docs, labels)
     spark = docs.sparkSession
@@ -169,4 +186,4 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 good = 1 / (1 + np.exp(-np.clip(model.weights[0] + x @ weights, -30, 30))) >= THRESHOLD
             yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(sliced(at, run), docs.schema)
