@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concordat.llm.memory import sliced
+from concordat.operators.joins import hot_counts, keyed_join
 from concordat.storage import AtomicWriter, bounded_batches, materialize, open_input, scratch, ship
 
 SPACE = uuid.UUID("8c5e3a52-6c0b-4a43-9d6f-0f3a1c6b7e11")
@@ -31,8 +33,8 @@ RECORDS = "record_id string, kind string, origin string, segment long, total lon
 PAYLOADS = "record_id string, kind string, refers string, page_id long, uri string, payload binary, error string"
 
 
-def record_name(key: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(SPACE, str(key))}>"
+def record_name(key: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(SPACE, key)}>"
 
 
 def chunked(body: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -81,7 +83,7 @@ def member(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress(b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n") + z.flush()
 
 
-def records_of(key: int, page_id: int | None, uri: str | None, payload: bytes, digest: str, refers: int | None, segment_bytes: int = SEGMENT_BYTES):
+def records_of(key: str, page_id: int | None, uri: str | None, payload: bytes, digest: str, refers: str | None, segment_bytes: int = SEGMENT_BYTES):
     """The gzip members of one page: a response with its continuations, or a revisit."""
     name, revisit = record_name(key), refers is not None
     base = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", name), ("WARC-Date", DATE), ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode())]
@@ -114,27 +116,42 @@ def write_archives(pages: DataFrame, root: str | None = None) -> DataFrame:
     payloads of at least ``REVISIT_BYTES`` the row with the greatest page_id is
     the response and all rows with other ids (null too) revisit it; a repeated
     row of that same id is a response of its own. Other columns are not read.
+
+    A record that others may revisit is named by its payload's digest and page,
+    all others by their place in the files, so names do not depend on how the
+    input's rows are dealt. Only large payloads are shuffled, common ones over
+    all partitions.
     """
     spark = pages.sparkSession
     ship(spark)
     bounded_batches(spark)
     root = root or scratch(spark, "warc")
     rows = pages.select(
-        F.monotonically_increasing_id().alias("key"), pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).cast("binary").alias("body")
+        pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).cast("binary").alias("body")
     ).withColumn("digest", F.sha1("body"))
-    large = rows.where(F.octet_length("body") >= REVISIT_BYTES).select("digest", "page_id", "key")
-    groups = large.groupBy("digest").agg(F.max(F.struct("page_id", "key")).alias("first"), F.count("*").alias("n")).where("n > 1 and first.page_id is not null").select("digest", "first")
-    joined = rows.join(groups, "digest", "left")
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
-    plan = joined.select("key", "page_id", "url", "digest", F.when(revisit, F.col("first.key")).alias("refers"), F.when(~F.coalesce(revisit, F.lit(False)), F.col("body")).alias("body"))
+    is_large = F.octet_length("body") >= REVISIT_BYTES
+    large = rows.where(is_large)
+    groups = large.groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
+    groups = materialize(groups, "warc-groups")
+    # Repeated rows hash alike, so one task numbers them.
+    joined = keyed_join(large, groups.drop("n"), ["digest"], "page_id, url", "left", hot_counts(groups, ["digest"])).unionByName(rows.where(~is_large).withColumn("first", F.lit(None).cast("long")))
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    plan = joined.select("page_id", "url", "digest", "first", F.when(~revisit, F.col("body")).alias("body"))
 
     def write(batches):
         from pyspark import TaskContext
 
         shard, part, out, paths = TaskContext.get().partitionId(), 0, None, []
+        named, n = set(), 0
         try:
             for batch in batches:
-                for key, page_id, url, digest, refers, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for page_id, url, digest, first, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    common = None if first is None else f"{digest}/{first}"
+                    refers = common if page_id != first else None
+                    key = common if common and not refers and common not in named else f"{shard}:{n}"
+                    n += 1
+                    if key == common:
+                        named.add(key)
                     if out is None:
                         out = AtomicWriter(f"{root}/part-{shard:06d}-{part:05d}.warc.gz")
                         out.write(member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(SPACE, f'info/{shard}/{part}')}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
@@ -155,7 +172,7 @@ def write_archives(pages: DataFrame, root: str | None = None) -> DataFrame:
         if paths:
             yield pa.RecordBatch.from_arrays([pa.array(paths)], names=["path"])
 
-    return materialize(plan.mapInArrow(write, "path string"), "warc-paths")
+    return materialize(plan.mapInArrow(sliced(4, write), "path string"), "warc-paths")
 
 
 def members(path: str):
@@ -288,12 +305,13 @@ def read_archives(spark: SparkSession, paths: DataFrame) -> DataFrame:
     Returns (page_id, payload_bytes, payload_digest, record_type, refers_to, uri, error).
     """
     ship(spark)
-    bounded_batches(spark, 200)
+    bounded_batches(spark)
     pages = reassemble(read_records(paths)).select("record_id", "kind", "refers", "page_id", "uri", "error", F.octet_length("payload").cast("long").alias("n"), F.sha1("payload").alias("digest"))
     pages = materialize(pages, "warc-pages")
     named = pages.where("kind = 'revisit'").select("refers").distinct()
-    known = pages.where("kind <> 'revisit'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("to_page"), F.col("n").alias("to_n"), F.col("digest").alias("to_digest")).join(named, "refers", "left_semi")
-    resolved = pages.join(known, "refers", "left")
+    known = pages.where("kind <> 'revisit'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("to_page"), F.col("n").alias("to_n"), F.col("digest").alias("to_digest")).join(named, "refers", "left_semi").dropDuplicates(["refers"])
+    # Only revisits look for another record; all of them may look for one.
+    resolved = keyed_join(pages.where("kind = 'revisit'"), known, ["refers"], "record_id", "left").unionByName(pages.where("kind <> 'revisit'"), allowMissingColumns=True)
     missing = (F.col("kind") == "revisit") & F.col("to_n").isNull()
     return resolved.select(
         "page_id",
