@@ -39,39 +39,38 @@ def _byte_lengths(tok) -> np.ndarray:
     return out
 
 
-class WordEncoder:
-    """Encodes texts with a ``tokenizers`` file; text that looks like a special
-    token is ordinary text unless ``specials`` is set, which gives it the
-    token's id as the library does by itself. Null counts as empty; an empty text has no ids.
+class Words:
+    """Ids of the words met so far, each worked out once; a base for encoders that cut texts at spaces.
 
+    A subclass says what the ids of fresh words (meant with a space before
+    them) and of whole texts are, and which words forbid a text to be cut.
     Known words are numbered by their place in an Arrow array, so they take
     little more than their bytes; their ids lie in one growing array. Beyond
     ``cache_words`` words or ``cache_bytes`` bytes it all starts anew, so memory
     is bounded.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES, specials: bool = False):
-        from tokenizers import Tokenizer
+    odd_words: str
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = not specials
-        if any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in self.tok.get_added_tokens_decoder().values()):
-            raise ValueError("an added token reaches over spaces, where texts are cut")
-        self.width = _byte_lengths(self.tok)
-        self.cache_words, self.cache_bytes = cache_words, cache_bytes
+    def __init__(self, kind, cache_words: int, cache_bytes: int):
+        self.kind, self.cache_words, self.cache_bytes = kind, cache_words, cache_bytes
         self._reset()
 
     def _reset(self) -> None:
         self.known = pa.array([], pa.large_string())
-        self.flat = np.zeros(1 << 16, dtype=np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
+        self.flat = np.zeros(1 << 16, dtype=self.kind)
         self.begin = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
 
     def _whole(self, texts: list[str]) -> list:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        raise NotImplementedError
+
+    def _fresh(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and where each word's end."""
+        raise NotImplementedError
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
-        """The number of each of these distinct words, meant with a space before it."""
+        """The number of each of these distinct words."""
         if len(self.known) > self.cache_words or self.known.nbytes > self.cache_bytes:
             self._reset()
         found = pc.index_in(words, value_set=self.known)
@@ -79,25 +78,15 @@ class WordEncoder:
             return found.to_numpy().astype(np.int64)
         todo = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
         out = pc.fill_null(found, -1).to_numpy().astype(np.int64)
-        # One call for all, in short strings; words end where the bytes of the ids add up to theirs.
         fresh = words.take(pa.array(todo))
-        cuts = np.append(np.arange(0, len(fresh), STRING_WORDS), len(fresh))
-        parts = [" " + p for p in pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), fresh), pa.scalar(" ", pa.large_string())).to_pylist()]
-        text = "".join(parts)
-        ids = np.fromiter(chain.from_iterable(self._whole(parts)), self.flat.dtype)
-        data = np.frombuffer((text + " ").encode(), dtype=np.uint8)
-        ends = np.flatnonzero(data == 32)[1:]
-        covered = np.cumsum(self.width[ids])
-        at = np.searchsorted(covered, ends) + 1
-        if int(covered[-1]) != len(data) - 1 or len(ends) != len(fresh):
-            raise ValueError("the ids do not cover the text: not a byte-level vocabulary")
+        ids, ends = self._fresh(fresh)
         first, total = len(self.known), self.used + len(ids)
         if total > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(total, self.flat.dtype)))
         if first + len(fresh) + 1 > len(self.begin):
             self.begin = np.concatenate((self.begin, np.zeros(first + len(fresh), np.int64)))
         self.flat[self.used : total] = ids
-        self.begin[first + 1 : first + len(fresh) + 1] = self.used + at
+        self.begin[first + 1 : first + len(fresh) + 1] = self.used + ends
         self.used = total
         self.known = pa.concat_arrays([self.known, fresh])
         out[todo] = np.arange(first, first + len(fresh))
@@ -114,7 +103,7 @@ class WordEncoder:
         offsets -= offsets[0]
         coded = split.flatten().dictionary_encode()
         codes, values = np.asarray(coded.indices), coded.dictionary
-        odd = np.asarray(pc.match_substring_regex(values, r"^$|^[\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ]$").to_numpy(zero_copy_only=False), dtype=bool)
+        odd = np.asarray(pc.match_substring_regex(values, self.odd_words).to_numpy(zero_copy_only=False), dtype=bool)
         counts = np.diff(offsets)
         whole = np.zeros(n, dtype=bool)
         if odd.any():
@@ -154,6 +143,41 @@ class WordEncoder:
         return out, lengths
 
 
+class WordEncoder(Words):
+    """Encodes texts with a ``tokenizers`` file; text that looks like a special
+    token is ordinary text unless ``specials`` is set, which gives it the
+    token's id as the library does by itself. Null counts as empty; an empty text has no ids.
+    """
+
+    odd_words = r"^$|^[\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ]$"
+
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES, specials: bool = False):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = not specials
+        if any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in self.tok.get_added_tokens_decoder().values()):
+            raise ValueError("an added token reaches over spaces, where texts are cut")
+        self.width = _byte_lengths(self.tok)
+        super().__init__(np.uint16 if len(self.width) <= 1 << 16 else np.uint32, cache_words, cache_bytes)
+
+    def _whole(self, texts: list[str]) -> list:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _fresh(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        # One call for all, in short strings; words end where the bytes of the ids add up to theirs.
+        cuts = np.append(np.arange(0, len(words), STRING_WORDS), len(words))
+        parts = [" " + p for p in pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words), pa.scalar(" ", pa.large_string())).to_pylist()]
+        text = "".join(parts)
+        ids = np.fromiter(chain.from_iterable(self._whole(parts)), self.kind)
+        data = np.frombuffer((text + " ").encode(), dtype=np.uint8)
+        ends = np.flatnonzero(data == 32)[1:]
+        covered = np.cumsum(self.width[ids])
+        if int(covered[-1]) != len(data) - 1 or len(ends) != len(words):
+            raise ValueError("the ids do not cover the text: not a byte-level vocabulary")
+        return ids, np.searchsorted(covered, ends) + 1
+
+
 def word_encoder(path: str, specials: bool = False) -> WordEncoder:
     """One encoder for each worker process."""
     return kept(("encoder", path, specials), lambda: WordEncoder(path, specials=specials))
