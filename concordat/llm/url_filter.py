@@ -2,11 +2,11 @@
 
 Per host the paths form a tree. Segments that look variable (numbers, dates,
 identifiers) become typed wildcards at once; a node with many children keeps
-only wildcards and the frequent ones and folds the rest into ``*``. Sibling templates
-whose labelled rates do not differ significantly are merged. A template is
-rejected if its smoothed share of bad labels is high, where the host's own
-smoothed share is the prior of its templates and the corpus' share that of the
-hosts.
+only wildcards and the frequent ones and folds the rest into ``*``. Sibling
+branches whose labelled rates do not differ significantly are merged, with all
+that lies below them. A template is rejected if its smoothed share of bad labels
+is high, where each branch's smoothed share is the prior of those below it, the
+host's that of its first branches and the corpus' share that of the hosts.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordat.operators.joins import keyed_join
 from concordat.storage import materialize, ship
 
 MAX_DEPTH = 8
@@ -24,7 +25,7 @@ SIMILAR_Z = 1.28
 PRIOR_WEIGHT = 10.0
 REJECT_PURITY = 0.5
 MAX_RULES = 1000
-WILDCARD = r"^\{(n|date|id)\}(\.[A-Za-z]{1,5})?$"
+WILDCARD = r"^\{(n|date|id)\}$"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -75,48 +76,66 @@ def typed(path: Column) -> Column:
 def fit(urls: DataFrame) -> DataFrame:
     """(host, shape, template, n, n_labelled, purity, rejected), one row for each typed path.
 
-    ``urls`` has (host, path, bad): bad is null without a label. Counts come
-    from all rows, pre-aggregated by typed path, so a host with a third of all
-    rows is a few rows of counts. Empty hosts are not judged.
+    ``urls`` has (host, path, n, bad): ``n`` is 0 for rows that only bring a
+    label, bad is null without one. Counts come from all rows, pre-aggregated by
+    typed path, so a host with a third of all rows is a few rows of counts.
+    Null and empty hosts are not judged; null paths are empty ones.
     """
     spark = urls.sparkSession
     ship(spark)
-    shaped = urls.where("host <> ''").select("host", typed(F.col("path")).alias("segs"), F.col("bad").cast("int").alias("bad"))
-    cur = shaped.withColumn("shape", F.array_join("segs", "/")).groupBy("host", "shape", "segs").agg(F.count("*").alias("n"), F.count("bad").alias("k"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b"))
-    cur = materialize(cur.withColumn("prefix", F.lit("")), "url-shapes")
-    depth = cur.agg(F.coalesce(F.max(F.size("segs")), F.lit(0)).alias("d")).first()["d"]
-    for d in range(depth):
-        # One level of the tree: count the children of each node, then fold the rare ones of crowded nodes.
-        seg = F.get(F.col("segs"), F.lit(d))
-        kids = cur.where(seg.isNotNull()).groupBy("host", "prefix", seg.alias("seg")).agg(F.sum("n").alias("c"))
-        nodes = kids.groupBy("host", "prefix").agg(F.sum("c").alias("t"), F.count("*").alias("f")).where(F.col("f") > FAN_OUT)
-        fold = kids.join(nodes, ["host", "prefix"]).where((F.col("c") < FREQUENT * F.col("t")) & ~F.col("seg").rlike(WILDCARD)).select("host", "prefix", "seg", F.lit("*").alias("as"))
-        step = cur.withColumn("seg", seg).join(fold, ["host", "prefix", "seg"], "left")
-        cur = materialize(step.withColumn("prefix", F.when(F.col("seg").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), F.coalesce("as", "seg")))).drop("seg", "as"), "url-level")
-    leaves = cur.groupBy("host", F.col("prefix").alias("template")).agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("b").alias("b"))
-    parent = F.regexp_replace("template", r"/[^/]*$", "")
-    siblings = leaves.where("k > 0").groupBy("host", parent.alias("parent")).agg(F.collect_list(F.struct("template", "k", "b")).alias("kids"))
+    shaped = urls.where("host <> ''").select("host", typed(F.coalesce("path", F.lit(""))).alias("segs"), "n", F.col("bad").cast("int").alias("bad"))
+    cur = shaped.withColumn("shape", F.array_join("segs", "/")).groupBy("host", "shape", "segs").agg(F.sum("n").alias("n"), F.count("bad").alias("k"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b"))
+    cur = materialize(cur, "url-shapes")
+    total = cur.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.coalesce(F.max(F.size("segs")), F.lit(0)).alias("depth")).first()
+    hosts = cur.groupBy("host").agg(_smoothed(F.sum("b"), F.sum("k"), F.lit((total["b"] + 1.0) / (total["k"] + 2.0))).alias("rate"))
+    # prefix: the path's own template so far; branch: the same with merged siblings as one.
+    cur = keyed_join(cur, hosts, ["host"], "shape").withColumns({"prefix": F.lit(""), "branch": F.lit("")})
+    at = ["host", "branch", "seg"]
+    for d in range(total["depth"]):
+        cur = materialize(cur.withColumn("seg", F.get(F.col("segs"), F.lit(d))), "url-level")
+        level = _level(cur.where("seg is not null"))
+        told = F.col("as").isNotNull()
+        grown = lambda c, name: F.when(told, F.concat(c, F.lit("/"), name)).otherwise(F.col(c)).alias(c)
+        cur = keyed_join(cur, materialize(level, "url-branches"), at, "shape", "left").select(
+            "host", "shape", "segs", "n", "k", "b", grown("prefix", "as"), grown("branch", "group"), F.when(told, _smoothed(F.col("gb"), F.col("gk"), F.col("rate"))).otherwise(F.col("rate")).alias("rate")
+        )
+    return cur.select("host", "shape", F.col("prefix").alias("template"), "n", F.col("k").alias("n_labelled"), F.col("rate").alias("purity"), (F.col("rate") >= REJECT_PURITY).alias("rejected"))
+
+
+def _smoothed(bad: Column, labelled: Column, prior: Column) -> Column:
+    return (bad + PRIOR_WEIGHT * prior) / (labelled + PRIOR_WEIGHT)
+
+
+def _level(live: DataFrame) -> DataFrame:
+    """(host, branch, seg, as, group, gk, gb): what each child of a branch becomes, and the labels of the branch that it is merged into.
+
+    Rare children of crowded nodes fold into ``*``; then siblings with labels are
+    merged where their rates are similar. Children without labels have no rate
+    to compare and stay by themselves. A node has at most ``FAN_OUT`` children
+    or 1 / ``FREQUENT`` frequent ones, three wildcards and ``*`` besides, so a
+    list of siblings is short.
+    """
+    node = ["host", "branch"]
+    kids = live.groupBy(*node, "seg").agg(F.sum("n").alias("c"), F.sum("k").alias("k"), F.sum("b").alias("b"))
+    nodes = kids.groupBy(*node).agg(F.sum("c").alias("t"), F.count("*").alias("f"))
+    rare = (F.col("f") > FAN_OUT) & (F.col("c") < FREQUENT * F.col("t")) & ~F.col("seg").rlike(WILDCARD)
+    kids = keyed_join(kids, nodes, node, "seg").withColumn("as", F.when(rare, "*").otherwise(F.col("seg")))
+    folded = kids.groupBy(*node, "as").agg(F.sum("k").alias("k"), F.sum("b").alias("b"))
+    siblings = folded.where("k > 0").groupBy(*node).agg(F.collect_list(F.struct("as", "k", "b")).alias("kids"))
 
     def merged(batches):
         for batch in batches:
             rows = []
-            for host, kids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for group, k, b in merge_similar([(x["template"], x["k"], x["b"]) for x in kids]):
-                    rows += [(host, t, k, b) for t in group]
+            for host, branch, kids in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for group, k, b in merge_similar([(x["as"], x["k"], x["b"]) for x in kids]):
+                    rows += [(host, branch, t, min(group), k, b) for t in group]
             if rows:
-                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "template", "gk", "gb"])
+                kinds = (*[pa.string()] * 4, pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "branch", "as", "group", "gk", "gb"])
 
-    # A node has at most FAN_OUT children or 1 / FREQUENT frequent ones, pure wildcards (one for each ending) besides, so a list is short.
-    pooled = siblings.select("host", "kids").mapInArrow(merged, "host string, template string, gk long, gb long")
-    hosts = leaves.groupBy("host").agg(F.sum("k").alias("hk"), F.sum("b").alias("hb"))
-    total = leaves.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    overall = (total["b"] + 1.0) / (total["k"] + 2.0)
-    host_rate = (F.col("hb") + PRIOR_WEIGHT * overall) / (F.col("hk") + PRIOR_WEIGHT)
-    rate = (F.coalesce("gb", F.lit(0)) + PRIOR_WEIGHT * host_rate) / (F.coalesce("gk", F.lit(0)) + PRIOR_WEIGHT)
-    judged = leaves.join(hosts, "host").join(pooled, ["host", "template"], "left").select("host", "template", rate.alias("purity"))
-    shapes = cur.select("host", "shape", F.col("prefix").alias("template"), "n", F.col("k").alias("n_labelled"))
-    return shapes.join(judged, ["host", "template"]).withColumn("rejected", F.col("purity") >= REJECT_PURITY)
+    pooled = siblings.select(*node, "kids").mapInArrow(merged, "host string, branch string, as string, group string, gk long, gb long")
+    zero = F.lit(0).cast("long")
+    return keyed_join(kids.select(*node, "seg", "as"), pooled, [*node, "as"], "seg", "left").select(*node, "seg", "as", F.coalesce("group", "as").alias("group"), F.coalesce("gk", zero).alias("gk"), F.coalesce("gb", zero).alias("gb"))
 
 
 def merge_similar(kids: list[tuple[str, int, int]], z: float = SIMILAR_Z) -> list[tuple[list[str], int, int]]:
@@ -149,9 +168,9 @@ def judge(pages: DataFrame, labelled: DataFrame, rules=RULES) -> DataFrame:
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url")).select("page_id", host.alias("host"), path.alias("path"))
     known = labelled.select(labelled["url"].alias("url"), labelled["bad"].alias("bad")).where("bad is not null").select(host.alias("host"), path.alias("path"), "bad")
-    tree = fit(rows.select("host", "path", F.lit(None).cast("int").alias("bad")).unionByName(known.select("host", "path", F.col("bad").cast("int").alias("bad"))))
+    tree = fit(rows.select("host", "path", F.lit(1).alias("n"), F.lit(None).cast("int").alias("bad")).unionByName(known.select("host", "path", F.lit(0).alias("n"), F.col("bad").cast("int").alias("bad"))))
     shape = F.array_join(typed(F.col("path")), "/")
-    met = rows.withColumn("shape", shape).join(tree.select("host", "shape", "template", "purity", "rejected"), ["host", "shape"], "left")
+    met = keyed_join(rows.withColumn("shape", shape), tree.select("host", "shape", "template", "purity", "rejected"), ["host", "shape"], "page_id, path", "left")
     fixed = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.coalesce("rejected", F.lit(False)), "block").otherwise("allow")
     return met.withColumn("fixed", fixed).select("page_id", "host", "path", F.col("fixed.rule").alias("rule"), F.coalesce("fixed.verdict", method).alias("verdict"), "template", "purity")
