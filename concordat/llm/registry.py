@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from concordat.llm import decontaminate, near_texts, near_vectors, pieces, quality, substrings, token_index, token_scan, url_filter, warc
 from concordat.llm.encode import vocabulary_path
+from concordat.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 BYTE_BPE = "byte_bpe_50k.json"
 END_OF_TEXT = 50256
@@ -87,13 +88,3 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op9_token_index": op9_token_index,
 }
-OP6_SQL = """
-with p as (select page_id, encode(coalesce(html, '')) as b, sha1(coalesce(html, '')) as d from pages),
-g as (select d, max(page_id) as first from p where octet_length(b) >= 1000 group by d having count(*) > 1)
-select p.page_id, cast(octet_length(b) as bigint) as payload_bytes, p.d as payload_digest,
-       case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
-       case when first <> page_id then first end as refers_to
-from p left join g on p.d = g.d
-"""
-
-ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
