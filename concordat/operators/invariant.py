@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.errors import InvariantError
 from concordat.functions import text as X
+from concordat.operators.ranks import ranked
 
 TABLE = ["cohort_id", "dataset_id"]
 BASELINE = -1
@@ -26,7 +27,7 @@ def permute(cells: DataFrame, outcomes: tuple[str, ...], seeds: list[int]) -> Da
     """Baseline cells, and for each seed the cells with outcome columns shuffled within their table.
 
     Only outcome cells are shuffled: ranks by row and by a hash of (seed, table,
-    column, row) are joined. Other cells are repeated for each seed. A seed
+    column, row) are joined, both counted over ranges of rows. Other cells are repeated for each seed. A seed
     always starts from the original.
     """
     names = [X.normalised_text(o) for o in outcomes]
@@ -39,10 +40,9 @@ def permute(cells: DataFrame, outcomes: tuple[str, ...], seeds: list[int]) -> Da
     same = base.where(~is_outcome).select(many, *rest)
     moved = base.where(is_outcome).select(many, *rest)
     at = ["replicate", *TABLE, "column"]
-    by_row = Window.partitionBy(*at).orderBy("row_no")
-    by_hash = Window.partitionBy(*at).orderBy(F.sha2(F.concat_ws("|", "replicate", *TABLE, "column", "row_no"), 256), "row_no")
-    left = moved.drop("value").withColumn("rank", F.row_number().over(by_row))
-    right = moved.select(*at, "value", F.row_number().over(by_hash).alias("rank"))
+    left = ranked(moved.drop("value"), at, ["row_no"])
+    hashed = F.sha2(F.concat_ws("|", "replicate", *TABLE, "column", "row_no"), 256).alias("hash")
+    right = ranked(moved.select(*at, "value", "row_no", hashed), at, ["hash", "row_no"]).select(*at, "value", "rank")
     shuffled = left.join(right, [*at, "rank"]).drop("rank")
     return base.unionByName(same.select(*cells.columns)).unionByName(shuffled.select(*cells.columns))
 

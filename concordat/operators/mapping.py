@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from concordat.config import DOMAIN_TABLES, Params
 from concordat.errors import ConversionError, MappingError, ValueMapError
 from concordat.functions import text as X
+from concordat.operators import ranks
 from concordat.sources.ingest import Pack
 
 KEY = ["cohort_id", "dataset_id", "column"]
@@ -178,9 +179,8 @@ def range_check(converted: DataFrame, rules: DataFrame, quantiles: tuple[float,
     ``rules`` is (rule_id, variable, converted, plausible_range).
     """
     r = F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
-    rows = converted.join(r.select("rule_id", "variable"), "rule_id").groupBy("variable").agg(
-        F.count("value_as_number").alias("n"), F.percentile("value_as_number", F.array(*[F.lit(q) for q in quantiles])).alias("q")
-    )
+    numbers = converted.where("value_as_number is not null").join(r.select("rule_id", "variable"), "rule_id").groupBy("variable", F.col("value_as_number").alias("x")).agg(F.count("*").alias("n"))
+    rows = ranks.quantiles(numbers, ["variable"], quantiles, n="n", totals=True).select("variable", F.col("total").alias("n"), F.col("quantiles").alias("q"))
     about = rules.groupBy("variable").agg(F.max("converted").alias("converted"), F.first("plausible_range", True).alias("range"))
     out = about.join(rows, "variable", "left")
     status = (

@@ -1,4 +1,9 @@
-"""Column profiles from one scan of the long form."""
+"""Column profiles from the long form.
+
+How often each value of a column occurs is one aggregate over all cells. Types,
+counts, lists and quantiles are read off that table of distinct values; only
+examples and samples of failures, which go by row order, look at cells again.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +16,8 @@ from pyspark.sql import functions as F
 from concordat.config import Params
 from concordat.errors import ProfileError
 from concordat.functions import text as X
+from concordat.operators import ranks
+from concordat.storage import materialize
 
 KEY = ["replicate", "cohort_id", "dataset_id", "column"]
 PROBABILITIES = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
@@ -36,14 +43,19 @@ def is_missing(value: Column, na: tuple[str, ...]) -> Column:
     return value.isNull() | value.isin(*na)
 
 
-def flagged(cells: DataFrame, p: Params) -> DataFrame:
-    """Cells with what each value looks like."""
+def value_counts(cells: DataFrame) -> DataFrame:
+    """(key, value, n): how often each value occurs, missing ones and null too; map-side combined."""
+    return cells if "n" in cells.columns else cells.groupBy(*KEY, "value").agg(F.count("*").alias("n"))
+
+
+def flagged(rows: DataFrame, p: Params) -> DataFrame:
+    """Cells or counted values with what each value looks like."""
     v = F.col("value")
-    return cells.select(*KEY, "row_no", "value", is_missing(v, p.na_strings).alias("gone"), X.is_int(v).alias("i"), X.is_float(v).alias("f"), X.is_bool(v).alias("b"), X.is_date(v, p.date_formats).alias("d"), F.contains(v, F.lit("�")).alias("bad"))
+    return rows.select("*", is_missing(v, p.na_strings).alias("gone"), X.is_int(v).alias("i"), X.is_float(v).alias("f"), X.is_bool(v).alias("b"), X.is_date(v, p.date_formats).alias("d"), F.contains(v, F.lit("�")).alias("bad"))
 
 
 def types(cells: DataFrame, p: Params) -> DataFrame:
-    """Per column: n_rows, n_missing, inferred_type, reason.
+    """Per column: n_rows, n_missing, inferred_type, reason; of cells or their :func:`value_counts`.
 
     Precedence: no value at all is empty; then int, float, bool, date. Numbers
     or dates beside other text are a failure (mixed_type), numbers beside dates
@@ -51,20 +63,21 @@ def types(cells: DataFrame, p: Params) -> DataFrame:
     that comes first.
     """
     there = ~F.col("gone")
-    some = lambda c: F.count_if(there & c)
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    some = lambda c: count(there & c)
     numeric = F.col("i") | F.col("f")
     # A year alone reads as a number and a date; it counts as the number it is.
     other = ~numeric & ~F.col("d")
-    agg = flagged(cells, p).groupBy(*KEY).agg(
-        F.count("*").alias("n_rows"),
-        F.count_if("gone").alias("n_missing"),
+    agg = flagged(value_counts(cells), p).groupBy(*KEY).agg(
+        F.sum("n").alias("n_rows"),
+        count(F.col("gone")).alias("n_missing"),
         some(F.col("i")).alias("ints"),
         some(F.col("f") | F.col("i")).alias("nums"),
         some(F.col("b")).alias("bools"),
         some(F.col("d")).alias("dates"),
         some(~numeric & F.col("d")).alias("only_dates"),
         some(other).alias("others"),
-        F.count_if(F.coalesce("bad", F.lit(False))).alias("broken"),
+        count(F.coalesce("bad", F.lit(False))).alias("broken"),
     )
     n = F.col("n_rows") - F.col("n_missing")
     clean = (
@@ -80,17 +93,12 @@ def types(cells: DataFrame, p: Params) -> DataFrame:
     return agg.select(*KEY, "n_rows", "n_missing", F.when(reason.isNull(), clean).alias("inferred_type"), reason.alias("reason"), (F.col("others") <= F.col("nums") + F.col("only_dates")).alias("others_fewer"))
 
 
-def distinct_counts(cells: DataFrame, p: Params) -> DataFrame:
-    """(key, value, n): how often each non-missing value occurs; map-side combined."""
-    return cells.where(~is_missing(F.col("value"), p.na_strings)).groupBy(*KEY, "value").agg(F.count("*").alias("n"))
-
-
 def uniques(cells: DataFrame, p: Params) -> DataFrame:
     """Per column: n_unique, unique_values (sorted; null beyond ``max_unique_listed``), unique_truncated.
 
     Values are gathered only for columns that are known to have few.
     """
-    values = distinct_counts(cells, p)
+    values = value_counts(cells).where(~is_missing(F.col("value"), p.na_strings))
     counts = values.groupBy(*KEY).agg(F.count("*").alias("n_unique"))
     few = counts.where(F.col("n_unique") <= p.max_unique_listed).select(*KEY)
     lists = values.join(few, KEY, "left_semi").groupBy(*KEY).agg(F.array_sort(F.collect_list("value")).alias("unique_values"))
@@ -98,11 +106,11 @@ def uniques(cells: DataFrame, p: Params) -> DataFrame:
 
 
 def quantiles(cells: DataFrame, kinds: DataFrame, p: Params) -> DataFrame:
-    """Exact interpolated quantiles of the numeric columns."""
+    """Exact interpolated quantiles of the numeric columns, however many distinct numbers they have."""
     numeric = kinds.where(F.col("inferred_type").isin("int", "float")).select(*KEY)
-    rows = cells.where(~is_missing(F.col("value"), p.na_strings)).join(numeric, KEY, "left_semi")
-    probs = F.array(*[F.lit(x) for x in PROBABILITIES])
-    return rows.groupBy(*KEY).agg(F.percentile(F.col("value").try_cast("double"), probs).alias("quantiles"))
+    rows = value_counts(cells).where(~is_missing(F.col("value"), p.na_strings)).join(numeric, KEY, "left_semi")
+    numbers = rows.groupBy(*KEY, F.col("value").try_cast("double").alias("x")).agg(F.sum("n").alias("n")).where("x is not null")
+    return ranks.quantiles(numbers, KEY, PROBABILITIES)
 
 
 def first_values(cells: DataFrame, k: int, keep: Column | None = None) -> DataFrame:
@@ -137,13 +145,15 @@ def unit_candidates(column: str, quantile: list[float] | None, infer_from_range:
 
 def profile(cells: DataFrame, p: Params = Params(), unit_parser: Callable = unit_candidates) -> DataFrame:
     """One row for each column: all evidence that later stages use, or the reason for failing."""
-    kinds = types(cells, p)
-    wide = kinds.join(uniques(cells, p), KEY, "left").join(quantiles(cells, kinds, p), KEY, "left")
+    values = materialize(value_counts(cells), "profile-values")
+    kinds = materialize(types(values, p), "profile-types")
+    wide = kinds.join(uniques(values, p), KEY, "left").join(quantiles(values, kinds, p), KEY, "left")
     shown = first_values(cells, p.example_k, ~is_missing(F.col("value"), p.na_strings)).withColumnRenamed("values", "example_values")
     return wide.join(shown, KEY, "left").select(
         *KEY,
         "inferred_type",
         "reason",
+        "others_fewer",
         "n_rows",
         "n_missing",
         F.coalesce("n_unique", F.lit(0)).alias("n_unique"),
