@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.groups import ROW, row_key
+from concordat.llm.memory import kept, sliced
 from concordat.llm.words import KEPT, MUL, mix, rolled
 from concordat.storage import bounded_batches, materialize, ship
 
@@ -64,14 +65,12 @@ class Kinds(dict):
         return kind
 
 
-_kinds = Kinds()
-
-
 def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(template tokens, values, slots, bounds): hashes of tokens and of the bare words, and which are placeholders."""
     split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     coded = split.flatten().dictionary_encode()
-    info = [_kinds[w] for w in coded.dictionary.to_pylist()]
+    kinds = kept(("kinds",), Kinds)
+    info = [kinds[w] for w in coded.dictionary.to_pylist()]
     codes = np.asarray(coded.indices)
     bounds = np.asarray(split.offsets).astype(np.int64)
     bounds -= bounds[0]
@@ -195,7 +194,7 @@ def _windows_of(sizes: list[int] | None, hashes: np.ndarray | None):
                 size = np.full(len(doc), k) if length is None else length[doc]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(size.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(h), slots, same], names=["id", "size", "pos", "h", "slots", "same"])
 
-    return run
+    return sliced(1, run)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WINDOWS) -> DataFrame:
@@ -216,7 +215,7 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     """
     spark = docs.sparkSession
     ship(spark)
-    bounded_batches(spark, 500)
+    bounded_batches(spark)
     items = benchmark.select(row_key(benchmark["item_id"], benchmark["text"]).alias("id"), benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("text"))
     theirs = materialize(items.select("id", "text").mapInArrow(_windows_of(None, None), FOUND), "benchmark-windows")
     distinct = theirs.select("h").distinct()

@@ -9,18 +9,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordat.operators.joins import keyed_join
 
-def paired(df: DataFrame, key: list[str], node: str, limit: int) -> DataFrame:
-    """Cut each group of ``df`` into blocks of about ``limit`` nodes and deal out every pair of blocks.
+
+def paired(df: DataFrame, key: list[str], node: str, limit: int, weight: Column | None = None, most: int = 0) -> DataFrame:
+    """Cut each group of ``df`` into blocks of about ``limit`` nodes, and of ``most`` by ``weight`` if given, and deal out every pair of blocks.
 
     Adds ``lo``, ``hi`` (the pair) and ``mine`` (the row's own block). Groups of
     one row go, as they have no pairs. Each two rows of a group meet in exactly
     one piece: (b, b) for rows of one block, (lo, hi) for rows of two. Blocks
     come from the node's hash, so no group is ever sorted or counted in one task.
     """
-    sizes = df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+    sizes = df.groupBy(*key).agg(F.count("*").alias("n"), *([] if weight is None else [F.sum(weight).alias("k")])).where("n > 1")
     k = F.ceil(F.col("n") / limit).cast("long")
-    rows = df.join(sizes, key).withColumn("k", k).withColumn("mine", F.expr(f"pmod(xxhash64({node}), k)"))
+    if weight is not None:
+        k = F.greatest(k, F.ceil(F.col("k") / most).cast("long"))
+    rows = keyed_join(df, sizes, key, node).withColumn("k", k).withColumn("mine", F.expr(f"pmod(xxhash64({node}), k)"))
     rows = rows.withColumn("other", F.explode(F.expr("case when k = 1 then array(0L) else sequence(0L, k - 1) end")))
     return rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other")).drop("n", "k", "other")
 
@@ -31,33 +35,6 @@ def together(df: DataFrame, key: list[str | Column], n: int | None = None) -> Da
     return df.repartition(n, *key).sortWithinPartitions(*key)
 
 
-HOT_KEYS = 1000
-
-
-def keyed_join(rows: DataFrame, facts: DataFrame, key: list[str], node: str, how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``facts`` (at most one row a key) where some keys may hold a large part of all rows.
-
-    A frequent-items sketch over all rows names the keys that outgrow an
-    average partition, at most ``HOT_KEYS`` of them; rows of those are spread by
-    the hash of ``node`` over as many salts as there are partitions, and the
-    fact is repeated for each salt. Any other key has less than one partition's
-    rows or one in ``HOT_KEYS``. The sketch only routes: every row meets its
-    fact whatever it names. Null keys match nothing, as in any join.
-    """
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    code = f"xxhash64({', '.join(key)})"
-    top = rows.agg(F.count("*").alias("n"), F.expr(f"approx_top_k({code}, {HOT_KEYS}, {8 * HOT_KEYS})").alias("top")).first()
-    hot = [t["item"] for t in top["top"] or [] if t["count"] > top["n"] / n]
-    if not hot or n < 2:
-        return rows.join(facts, key, how)
-    is_hot = f"{code} in ({', '.join(f'{h}L' if h != -(1 << 63) else '(-9223372036854775807L - 1L)' for h in hot)})"
-    salt = "__salt"
-    rows = rows.withColumn(salt, F.expr(f"if({is_hot}, pmod(xxhash64({node}), {n}L), 0L)"))
-    facts = facts.withColumn(salt, F.explode(F.expr(f"if({is_hot}, sequence(0L, {n - 1}L), array(0L))")))
-    return rows.join(facts, [*key, salt], how).drop(salt)
-
-
 def runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
     """Tables of consecutive rows with equal keys; keys may span batches."""
     held: list[pa.RecordBatch] = []

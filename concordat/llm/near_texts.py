@@ -20,9 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.groups import ROW, paired, row_key, runs, spanning, stars, together
+from concordat.llm.memory import sliced, trimmed
 from concordat.llm.words import batch_hashes, rolled
 from concordat.operators.components import connected_components
-from concordat.storage import bounded_batches, materialize, ship
+from concordat.operators.joins import keyed_join
+from concordat.storage import bounded_batches, drop, materialize, ship
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -33,6 +35,7 @@ TOLERANCE = 1e-4
 SEED = 7
 BUCKET_BLOCK = 1024
 BLOCK = 256
+BLOCK_BYTES = 8 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -126,7 +129,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
     """
     spark = docs.sparkSession
     ship(spark)
-    bounded_batches(spark, 500)
+    bounded_batches(spark)
     n = BANDS * ROWS
 
     def sign(batches):
@@ -143,7 +146,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], names=["row", "id", "class", "sig"])
 
     keyed = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id"), docs["text"].alias("text"))
-    signed = keyed.mapInArrow(_compact(sign), f"row {ROW}, id long, class binary, bands array<long>, short binary")
+    signed = keyed.mapInArrow(sliced(2, _compact(sign)), f"row {ROW}, id long, class binary, bands array<long>, short binary")
     rows = materialize(signed.withColumn("n", F.monotonically_increasing_id()), "texts-signed")
     first = F.min(F.struct("id", "n", "row")).alias("first")
     classes = rows.where("class is not null").groupBy("class").agg(first, F.count("*").alias("size"), F.any_value("bands").alias("bands"), F.any_value("short").alias("short"))
@@ -177,8 +180,9 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
             made = shingle_sets(batch.column(0), words)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([s.tobytes() for s in made], pa.binary())], names=["class", "component", "size", "set"])
 
-    exact = materialize(texts.select("text", "class", "component", "size").mapInArrow(sets, "class binary, component binary, size long, set binary"), "texts-sets")
-    cells = paired(exact, ["component"], "class", BLOCK)
+    exact = materialize(texts.select("text", "class", "component", "size").mapInArrow(sliced(0, sets), "class binary, component binary, size long, set binary"), "texts-sets")
+    drop(spark, members)
+    cells = paired(exact, ["component"], "class", BLOCK, F.octet_length("set"), BLOCK_BYTES)
 
     def verify(batches):
         for table in runs(batches, ["component", "lo", "hi"]):
@@ -213,14 +217,15 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> D
                 [pa.array(names + a, pa.binary()), pa.array([None] * len(names) + b, pa.binary()), pa.array(links.tolist() + [0] * len(a), pa.int64())], names=["class", "other", "n"]
             )
 
-    checked = materialize(together(cells, ["component", "lo", "hi"]).mapInArrow(verify, "class binary, other binary, n long"), "texts-links")
+    checked = materialize(together(cells, ["component", "lo", "hi"]).mapInArrow(trimmed(verify), "class binary, other binary, n long"), "texts-links")
+    drop(spark, exact)
     links = checked.where("other is null").groupBy("class").agg(F.sum("n").alias("links"))
     final = connected_components(checked.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     lowest = final.join(classes.select(F.col("class").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("head"))
-    heads = final.join(lowest, "component").select(F.col("node").alias("class"), "head")
+    heads = keyed_join(final, lowest, ["component"], "node").select(F.col("node").alias("class"), "head")
     known = classes.select("class", "first", "size").join(links, "class", "left").join(heads, "class", "left")
     known = known.select("class", F.col("first.id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("head", "first").alias("head"))
-    out = rows.select("row", "id", "n", "class").join(known, "class", "left")
+    out = keyed_join(rows.select("row", "id", "n", "class"), known, ["class"], "n", "left")
     shown = lambda c: F.nullif(c, F.lit(NO_ID))
     return out.select(
         "row",

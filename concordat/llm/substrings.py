@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.fm_index import FMIndex
-from concordat.llm.groups import ROW, keyed_join, row_key, runs, together
+from concordat.llm.groups import ROW, row_key, runs, together
+from concordat.llm.memory import sliced, trimmed
 from concordat.llm.words import batch_hashes, rolled
+from concordat.operators.joins import keyed_join
 from concordat.storage import bounded_batches, discard, materialize, ship
 
 WINDOW = 50
@@ -85,7 +87,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    bounded_batches(spark, 500)
+    bounded_batches(spark)
     plain = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc"), docs["text"].alias("text"))
 
     def cut(batches):
@@ -98,7 +100,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             values = pa.StructArray.from_arrays([pa.array(x) for x in parts], names=["h", "s", "n", "k1", "k2"])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(bounds), values)], names=["row", "doc", "a"])
 
-    made = materialize(plain.where("doc is not null").mapInArrow(cut, f"row {ROW}, doc long, a {SEGMENTS}"), "repeat-anchors")
+    made = materialize(plain.where("doc is not null").mapInArrow(sliced(2, cut), f"row {ROW}, doc long, a {SEGMENTS}"), "repeat-anchors")
     every = made.select("row", "doc", F.inline("a"))
     shared = every.groupBy("h").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("h")
     hits = materialize(keyed_join(every, shared, ["h"], "row"), "repeat-hits")
@@ -125,7 +127,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     # Repeated rows have one key; the join has put them together.
     texts = plain.select("row", "text").join(asked, "row").dropDuplicates(["row"]).select("text", "segs")
-    segs = materialize(texts.mapInArrow(words_of, "k1 long, k2 long, n int, doc long, h long, each array<long>, words binary"), "repeat-segments")
+    segs = materialize(texts.mapInArrow(sliced(0, words_of), "k1 long, k2 long, n int, doc long, h long, each array<long>, words binary"), "repeat-segments")
     discard(spark, owners)
 
     # Split anchors: one row for each repeated window, taken from the segment of the least document.
@@ -153,7 +155,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks() for c in ("k1", "k2", "n")), least], names=["k1", "k2", "n", "least"])
 
     dealt = pieces.withColumn("shard", F.expr(f"pmod(xxhash64(route), {shards}L)")).drop("route")
-    answers = materialize(together(dealt, ["shard"]).mapInArrow(search, "k1 long, k2 long, n int, least array<long>"), "repeat-answers")
+    answers = materialize(together(dealt, ["shard"]).mapInArrow(trimmed(search), "k1 long, k2 long, n int, least array<long>"), "repeat-answers")
     discard(spark, pieces)
     alone = answers.where("n = -1").select(F.col("k1").alias("w"), F.col("least")[0].alias("m"))
     rebuilt = keyed_join(spread, alone, ["w"], "k1, k2, n", "left").groupBy("k1", "k2", "n").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", "doc").alias("m")))).alias("l"))
@@ -196,7 +198,7 @@ def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     rows = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     joined = rows.join(starts, "row", "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return joined.mapInArrow(sliced(1, run), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -230,4 +232,4 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     marked = docs.withColumn(row, row_key(docs["doc_id"], docs["text"]))
     joined = marked.join(starts.withColumnsRenamed({"row": row, "starts": mark}), row, "left")
-    return joined.select(*[F.col(f"`{c}`") for c in names], mark).mapInArrow(run, schema)
+    return joined.select(*[F.col(f"`{c}`") for c in names], mark).mapInArrow(sliced(text, run), schema)
