@@ -12,12 +12,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.groups import paired, runs, spanning, stars, together
 from concordat.operators.components import connected_components
-from concordat.storage import bounded_batches, materialize, ship
+from concordat.operators.joins import keyed_join
+from concordat.storage import bounded_batches, drop, materialize, ship
 
 THRESHOLD = 0.95
 TABLES = 64
@@ -44,12 +46,20 @@ def codes(unit: np.ndarray, tables: int = TABLES, k: int = PROJECTIONS, width: f
     return out.view(np.int64)
 
 
-def _usable(v) -> np.ndarray | None:
-    """The vector in double precision, or None if it can't link."""
-    if not v or any(x is None for x in v):
-        return None
-    x = np.array(v, dtype=np.float64)
-    return x if np.isfinite(x).all() and x.any() else None
+def _usable(column: pa.Array) -> np.ndarray:
+    """Which vectors can link: not null nor empty, every component there and finite, not all of them zero."""
+    lists, flat = np.diff(np.asarray(column.offsets)), column.flatten()
+    if not len(flat):
+        return np.zeros(len(column), dtype=bool)
+    there = ~column.is_null().to_numpy(zero_copy_only=False)
+    x = flat.to_numpy(zero_copy_only=False)
+    sound = np.isfinite(x) & flat.is_valid().to_numpy(zero_copy_only=False)
+    # Null lists take no room in the flattened values.
+    counts = np.where(there, lists, 0)
+    owner = np.repeat(np.arange(len(column)), counts)
+    bad = np.bincount(owner, ~sound, len(column)) > 0
+    some = np.bincount(owner, sound & (x != 0), len(column)) > 0
+    return there & some & ~bad
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -73,13 +83,18 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
     """
     spark = vectors.sparkSession
     ship(spark)
-    bounded_batches(spark, 2000)
+    bounded_batches(spark)
 
     def classed(batches):
         for batch in batches:
-            xs = [_usable(v) for v in batch.column(1).to_pylist()]
-            key = [None if x is None else hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in xs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.binary()), pa.array(xs, pa.list_(pa.float64()))], names=["vec_id", "class", "v"])
+            ok, v = _usable(batch.column(1)), batch.column(1)
+            # Null instead of a vector that can't link; negative zeros are zeros.
+            v = pc.if_else(pa.array(ok), v, pa.scalar(None, v.type))
+            flat = v.flatten().to_numpy(zero_copy_only=False) + 0.0
+            ends = np.cumsum(np.where(ok, np.diff(np.asarray(batch.column(1).offsets)), 0))
+            key = [hashlib.blake2b(flat[b:e].tobytes(), digest_size=16).digest() if e > b else None for b, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat), mask=pa.array(~ok))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.binary()), lists], names=["vec_id", "class", "v"])
 
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"))
     rows = materialize(rows.mapInArrow(classed, "vec_id long, class binary, v array<double>"), "vec-rows")
@@ -113,6 +128,7 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
 
     found = together(pieces, ["bucket", "code", "lo", "hi"]).mapInArrow(edges, "a binary, b binary").distinct()
     members = materialize(connected_components(found), "vec-members")
+    drop(spark, buckets)
     cells = paired(members.withColumnRenamed("node", "class"), ["component"], "class", BLOCK).join(classes, "class").select("component", "lo", "hi", "mine", "class", "size", "v")
 
     def count(batches):
@@ -128,9 +144,9 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
 
     links = together(cells, ["component", "lo", "hi"]).mapInArrow(count, "class binary, n long").groupBy("class").agg(F.sum("n").alias("links"))
     lowest = members.join(sizes.withColumnRenamed("class", "node"), "node").groupBy("component").agg(F.min("class_id").alias("component_id"))
-    known = members.join(lowest, "component").select(F.col("node").alias("class"), "component_id").join(links, "class", "left")
+    known = keyed_join(members, lowest, ["component"], "node").select(F.col("node").alias("class"), "component_id").join(links, "class", "left")
     known = sizes.join(known, "class", "left").select("class", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component_id", "class_id").alias("component_id"))
-    out = rows.select("vec_id", "class").join(known, "class", "left")
+    out = keyed_join(rows.select("vec_id", "class"), known, ["class"], "vec_id", "left")
     linked = F.col("vec_id").isNotNull()
     return out.select(
         "vec_id",
