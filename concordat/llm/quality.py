@@ -88,8 +88,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
 
     Of each class the ``per_class`` ids with the least hash, as long as their
     texts together are within ``most_bytes``; no text is cut. Of rows that
-    repeat an id the text with the least hash counts. Ids with null, other or
-    contradicting labels are not used; repeated labels count once. Null and
+    repeat an id the text with the least hash counts. Ids with other or
+    contradicting labels are not used; null labels say nothing and repeated ones
+    count once. Null and
     empty texts teach nothing and are left out.
     """
     usable = labels.where("doc_id is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
