@@ -125,9 +125,20 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(str(out))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches small enough for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small enough for long texts.
+
+    The session's limits are only ever lowered, and to the same values by every
+    operator, so a lazy plan does not depend on which was built last.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most) if name == "maxRecordsPerBatch" else f"{most}b")
 
 
 def release(spark: SparkSession) -> None:
