@@ -7,7 +7,10 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from concordat.config import DOMAIN_TABLES
 from concordat.errors import ConcordatError
+from concordat.operators.mapping import table_of
+from concordat.sources.tables import write_json
 
 PRECISIONS = ("day", "month", "year")
 # Response categories from best to worst.
@@ -155,6 +158,29 @@ def audit(cells: DataFrame, spec: str) -> DataFrame:
     return cells.where((F.col("cdm_table") == t) & (F.col("person_id") == r) & (F.col("field") == f))
 
 
-def emit(mapped: DataFrame, path: str) -> None:
-    """One directory per target table, zstd-compressed."""
-    mapped.write.mode("overwrite").option("compression", "zstd").partitionBy("cdm_table").parquet(path)
+def emit(mapped: DataFrame, path: str, extension: DataFrame | None = None, pack: str = "pack", compression: str = "zstd", publish_schema: bool = True) -> None:
+    """One table for each target that occurs, the pack's own variables beside them, and a JSON Schema of each."""
+    domains = {t: d for d, t in DOMAIN_TABLES.items()}
+    for table in sorted(r["cdm_table"] for r in mapped.select("cdm_table").distinct().collect()):
+        made = table_of(mapped, table, domains[table])
+        made.write.mode("overwrite").option("compression", compression).parquet(f"{path}/{table}.parquet")
+        if publish_schema:
+            write_json(json_schema(made, table), f"{path}/schema/{table}.schema.json")
+    if extension is not None:
+        extension.write.mode("overwrite").option("compression", compression).parquet(f"{path}/_extension/{pack}.parquet")
+
+
+JSON_TYPES = {"string": "string", "boolean": "boolean", "double": "number", "float": "number", "bigint": "integer", "int": "integer"}
+
+
+def json_schema(df: DataFrame, title: str) -> dict:
+    """What consumers of a table may rely on; times are texts, null is allowed where a column may hold it."""
+    kinds = {f.name: JSON_TYPES.get(f.dataType.simpleString(), "string") for f in df.schema.fields}
+    return {
+        "$schema": "https://json-schema.org/draft/2020-12/schema",
+        "title": title,
+        "type": "object",
+        "properties": {f.name: {"type": [kinds[f.name], "null"] if f.nullable else kinds[f.name]} for f in df.schema.fields},
+        "required": df.columns,
+        "additionalProperties": False,
+    }

@@ -53,10 +53,12 @@ def marginals(cells: DataFrame) -> DataFrame:
     return cells.groupBy("replicate", *TABLE, "column").agg(F.count("*").alias("n"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("digest"))
 
 
-def encoded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """One text per row: tagged values in column order; doubles with fixed decimals, times in microseconds."""
+def encoded(df: DataFrame, digits: int = 6, keep: str | None = None) -> DataFrame:
+    """One text per row: tagged values in column order; doubles with fixed decimals, times in microseconds. ``keep`` is a column left as it is."""
     parts = []
     for f in df.schema.fields:
+        if f.name == keep:
+            continue
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             text = F.format_string(f"%.{digits}f", c.cast("double"))
@@ -67,7 +69,7 @@ def encoded(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             text = c.cast("string")
         parts.append(F.when(c.isNull(), "N").otherwise(F.concat(F.lit("V"), text)))
-    return df.select(F.concat_ws("\x1f", *parts).alias("row"))
+    return df.select(*([keep] if keep else []), F.concat_ws("\x1f", *parts).alias("row"))
 
 
 def digest(df: DataFrame, digits: int = 6) -> str:
@@ -88,6 +90,19 @@ def multiset_digest(df: DataFrame, digits: int = 6) -> str:
     return hashlib.sha256("|".join(map(str, [schema, *r])).encode()).hexdigest()
 
 
+def digests(mapped: DataFrame, unmapped: DataFrame, digits: int = 6) -> dict[int, str]:
+    """A digest of each replicate's mapped and unmapped rows, whatever their order, from one job."""
+    parts = [encoded(df, digits, "replicate").withColumn("artefact", F.lit(name)) for name, df in (("mapped", mapped), ("unmapped", unmapped))]
+    rows = parts[0].unionByName(parts[1])
+    h = F.sha2("row", 256)
+    sums = [F.sum(F.conv(F.substring(h, 1 + 12 * i, 12), 16, 10).cast("decimal(38,0)")).cast("string").alias(f"s{i}") for i in range(4)]
+    out: dict[int, list] = {}
+    for r in rows.groupBy("replicate", "artefact").agg(F.count("*").alias("n"), *sums).collect():
+        out.setdefault(r["replicate"], []).append(tuple(map(str, r))[1:])
+    schemas = [f"{f.name}:{f.dataType.simpleString()}" for df in (mapped, unmapped) for f in df.schema.fields]
+    return {k: hashlib.sha256(repr((schemas, sorted(v))).encode()).hexdigest() for k, v in out.items()}
+
+
 def verdict(
     baseline: str | None,
     replicates: dict[int, str],

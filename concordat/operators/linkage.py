@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -15,8 +16,25 @@ from concordat.config import Params
 from concordat.errors import LinkError
 from concordat.functions import text as X
 from concordat.operators.components import connected_components
+from concordat.storage import materialize
 
 LEVELS = ("agree", "disagree", "missing")
+
+# Blocking rules and comparison fields of a run that names no files of its own.
+DEFAULT_RULES = [
+    {"id": "br_dob_sex", "on": ["birth_date", "sex"]},
+    {"id": "br_name3", "on": ["substr(last_name, 1, 3)", "birth_year"]},
+    {"id": "br_mrn", "on": ["mrn"]},
+]
+DEFAULT_FIELDS = {
+    "fields": [
+        {"name": "sex", "on": "gender", "compare": "exact_ci", "m": {"agree": 0.94, "disagree": 0.05, "missing": 0.01}, "u": {"agree": 0.50, "disagree": 0.49, "missing": 0.01}},
+        {"name": "birth_year", "on": "anchor_year", "compare": "exact", "m": {"agree": 0.90, "disagree": 0.06, "missing": 0.04}, "u": {"agree": 0.02, "disagree": 0.93, "missing": 0.05}},
+        {"name": "marital_status", "on": "marital_status", "compare": "exact_ci", "m": {"agree": 0.85, "disagree": 0.05, "missing": 0.10}, "u": {"agree": 0.20, "disagree": 0.70, "missing": 0.10}},
+        {"name": "race", "on": "race", "compare": "exact_ci", "m": {"agree": 0.92, "disagree": 0.04, "missing": 0.04}, "u": {"agree": 0.15, "disagree": 0.80, "missing": 0.05}},
+        {"name": "language", "on": "language", "compare": "exact_ci", "m": {"agree": 0.88, "disagree": 0.04, "missing": 0.08}, "u": {"agree": 0.60, "disagree": 0.32, "missing": 0.08}},
+    ]
+}
 FLOOR = 1e-9
 SEPARATOR = "\x1f"
 
@@ -187,48 +205,58 @@ def vector_counts(levels: DataFrame, spec: list[Comparison]) -> DataFrame:
     return levels.groupBy(*[c.name for c in spec]).agg(F.count("*").alias("n"))
 
 
-def exact_u(records: DataFrame, spec: list[Comparison], group: str = "cohort_id") -> dict[str, dict[str, float]]:
+def exact_u(records: DataFrame, spec: list[Comparison], group: str = "cohort_id", by: str | None = None) -> dict:
     """u over all pairs within a group, in closed form from value counts; no pair is made.
 
-    ``numeric`` fields count pairs within the tolerance over their distinct
-    values by a range join that is bucketed by the tolerance.
+    One result, or with ``by`` one for each value of that column. ``numeric``
+    fields count pairs within the tolerance over their distinct values by a
+    range join that is bucketed by the tolerance. Counts of all groups come back
+    in one job a field.
     """
-    out = {}
-    totals = {r[group]: r["n"] for r in records.groupBy(group).agg(F.count("*").alias("n")).collect()}
-    every = sum(comb(n, 2) for n in totals.values())
-    for c in spec:
-        if c.on not in records.columns or not every:
-            out[c.name] = {"agree": FLOOR, "disagree": FLOOR, "missing": 1.0}
-            continue
-        v = X.stripped(F.col(f"`{c.on}`"))
-        there = records.select(group, v.alias("v")).where("v is not null and v <> ''")
-        present = {r[group]: r["n"] for r in there.groupBy(group).agg(F.count("*").alias("n")).collect()}
-        missing = every - sum(comb(n, 2) for n in present.values())
-        kind, _, arg = c.compare.partition(":")
-        key = {"exact": F.col("v"), "exact_ci": F.lower("v")}.get(kind)
-        if kind == "prefix":
-            key = F.lower(F.left("v", F.lit(int(arg))))
-        if key is not None:
-            counts = there.groupBy(group, key.alias("k")).agg(F.count("*").alias("n"))
-            agree = counts.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("a")).first()["a"]
-        else:
-            agree = _within(there, group, float(arg))
-        whole = {"agree": agree, "disagree": every - missing - agree, "missing": missing}
-        out[c.name] = {k: max(x / every, FLOOR) for k, x in whole.items()}
-    return out
+    at = [by, group] if by else [group]
+    of = lambda r: r[by] if by else None
 
+    def pairs_of(rows: DataFrame) -> dict:
+        out: dict = {}
+        for r in rows.groupBy(*at).agg(F.count("*").alias("n")).collect():
+            out[of(r)] = out.get(of(r), 0) + comb(r["n"], 2)
+        return out
 
-def _within(there: DataFrame, group: str, tolerance: float) -> int:
-    """Pairs of numbers at most ``tolerance`` apart."""
-    counts = there.select(group, X.to_number(F.col("v")).alias("x")).where("x is not null").groupBy(group, "x").agg(F.count("*").alias("n"))
-    same = counts.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("a")).first()["a"]
+    every = pairs_of(records)
+    out = {k: {} for k in (every or {None: 0})}
+    for c in spec:
+        agree, missing = {}, every
+        if c.on in records.columns:
+            there = records.select(*at, X.stripped(F.col(f"`{c.on}`")).alias("v")).where("v is not null and v <> ''")
+            present = pairs_of(there)
+            missing = {k: n - present.get(k, 0) for k, n in every.items()}
+            agree = {of(r): r["a"] for r in _agreeing(there, c.compare, at).groupBy(*at[:-1]).agg(F.sum("a").alias("a")).collect()}
+        for k in out:
+            if not every.get(k) or c.on not in records.columns:
+                out[k][c.name] = {"agree": FLOOR, "disagree": FLOOR, "missing": 1.0}
+                continue
+            n, a = missing[k], agree.get(k) or 0
+            out[k][c.name] = {x: max(y / every[k], FLOOR) for x, y in (("agree", a), ("disagree", every[k] - n - a), ("missing", n))}
+    return out if by else out[None]
+
+
+def _agreeing(there: DataFrame, how: str, at: list[str]) -> DataFrame:
+    """(group, a): how many pairs of values ``v`` agree, in parts to be summed."""
+    kind, _, arg = how.partition(":")
+    same = F.expr("n * (n - 1) div 2").alias("a")
+    if kind != "numeric":
+        key = {"exact": F.col("v"), "exact_ci": F.lower("v")}.get(kind)
+        key = F.lower(F.left("v", F.lit(int(arg)))) if key is None else key
+        return there.groupBy(*at, key.alias("k")).agg(F.count("*").alias("n")).select(*at, same)
+    counts = there.select(*at, X.to_number(F.col("v")).alias("x")).where("x is not null").groupBy(*at, "x").agg(F.count("*").alias("n"))
+    tolerance = float(arg)
     if tolerance <= 0:
-        return same
+        return counts.select(*at, same)
     cell = F.floor(F.col("x") / tolerance).cast("long")
-    a = counts.select(group, F.col("x").alias("x1"), F.col("n").alias("n1"), F.explode(F.array(cell, cell + 1)).alias("c"))
-    b = counts.select(group, F.col("x").alias("x2"), F.col("n").alias("n2"), cell.alias("c"))
-    near = a.join(b, [group, "c"]).where((F.col("x1") < F.col("x2")) & (F.col("x2") - F.col("x1") <= tolerance))
-    return same + near.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).alias("a")).first()["a"]
+    a = counts.select(*at, F.col("x").alias("x1"), F.col("n").alias("n1"), F.explode(F.array(cell, cell + 1)).alias("c"))
+    b = counts.select(*at, F.col("x").alias("x2"), F.col("n").alias("n2"), cell.alias("c"))
+    near = a.join(b, [*at, "c"]).where((F.col("x1") < F.col("x2")) & (F.col("x2") - F.col("x1") <= tolerance))
+    return counts.select(*at, same).unionByName(near.select(*at, (F.col("n1") * F.col("n2")).alias("a")))
 
 
 def em(vectors: list[tuple[tuple[str, ...], int]], spec: list[Comparison], u: dict, iterations: int, start: float = 0.1) -> tuple[dict, dict]:
@@ -308,6 +336,7 @@ def resolve(records: DataFrame, links: DataFrame, group: tuple[str, ...] = ("coh
     parts = connected_components(links.select(key("left_id").alias("a"), key("right_id").alias("b")))
     rows = records.select(*g, "record_id").distinct().withColumn("node", F.to_json(at))
     labelled = rows.join(parts, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    # A person's records share a group, so the root alone would do; the group is carried along.
     people = labelled.groupBy(*g, "root").agg(F.array_sort(F.collect_list("record_id")).alias("source_row_id"))
     return people.select(person_id(F.col("cohort_id"), F.col("source_row_id")).alias("person_id"), *g, "source_row_id")
 
@@ -336,19 +365,51 @@ def histogram(scores: DataFrame, p: Params, bins: int = 60) -> tuple[float, floa
     return lo, hi, scores.groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def link(records: DataFrame, rules: list[Rule], spec: list[Comparison], p: Params = Params(), outcomes: tuple[str, ...] = ()) -> dict:
-    """The whole stage: pairs, weights, persons and reports."""
+def link(records: DataFrame, rules: list[Rule], spec: list[Comparison], p: Params = Params(), outcomes: tuple[str, ...] = (), by: str | None = None, blocker: Callable = block, scorer: Callable = score, resolver: Callable = resolve) -> dict:
+    """The whole stage: pairs, weights, persons and reports.
+
+    With ``by`` all is done for each value of that column apart, in the same
+    jobs: blocks, u, m, weights and persons. ``m``, ``u`` and ``provenance`` are
+    then by that value. Compared pairs are stored once, as counts, scores and
+    persons all read them.
+    """
     for c in spec:
         refuse_outcome([c.on], outcomes, f"comparison {c.name}")
-    pairs, blocks = block(records, rules, p.max_block_size, outcomes)
-    levels = compare(pairs, records, spec)
-    u = exact_u(records, spec) if p.link_u_from_random_pairs else {c.name: dict(c.u) for c in spec}
+    group = (by, "cohort_id") if by else ("cohort_id",)
+    pairs, blocks = blocker(records, rules, p.max_block_size, outcomes, group)
+    pairs = materialize(pairs, "candidate-pairs")
+    levels = materialize(compare(pairs, records, spec, group), "pair-levels")
     names = [c.name for c in spec]
-    vectors = [(tuple(r[n] for n in names), r["n"]) for r in vector_counts(levels, spec).collect()]
-    m, info = em(sorted(vectors), spec, u, p.link_em_iterations) if vectors else ({c.name: dict(c.m) for c in spec}, {"em_iterations_run": 0})
-    scores = score(levels, spec, weight_table(spec, m, u))
-    people = resolve(records, scores.where(F.col("match_weight") >= p.match_threshold))
-    return {"pairs": pairs, "blocks": blocks, "scores": scores, "people": people, "m": m, "u": u, "provenance": info | {"u_source": "exact" if p.link_u_from_random_pairs else "spec"}}
+    vectors: dict = {}
+    for r in levels.groupBy(*([by] if by else []), *names).agg(F.count("*").alias("n")).collect():  # at most 3 to the number of fields, for each replicate
+        vectors.setdefault(r[by] if by else None, []).append((tuple(r[n] for n in names), r["n"]))
+    u = exact_u(records, spec, "cohort_id", by) if p.link_u_from_random_pairs else None
+    m, told, table = {}, {}, []
+    for k, found in sorted(vectors.items(), key=lambda x: (x[0] is None, x[0])):
+        own = {c.name: dict(c.u) for c in spec} if u is None else u[k] if by else u
+        m[k], told[k] = em(sorted(found), spec, own, p.link_em_iterations)
+        table += [(k, w) for w in [weight_table(spec, m[k], own)]]
+    if by:
+        scores = _score_by(levels, spec, dict(table), by)
+    else:
+        scores = scorer(levels, spec, dict(table).get(None) or weight_table(spec, {c.name: c.m for c in spec}, {c.name: c.u for c in spec}))
+    people = resolver(records, scores.where(F.col("match_weight") >= p.match_threshold), group)
+    source = "exact" if u is not None else "spec"
+    if by:
+        return {"pairs": pairs, "blocks": blocks, "scores": scores, "people": people, "m": m, "u": u, "provenance": {k: v | {"u_source": source} for k, v in told.items()}}
+    one = m.get(None) or {c.name: dict(c.m) for c in spec}
+    return {"pairs": pairs, "blocks": blocks, "scores": scores, "people": people, "m": one, "u": u if u is not None else {c.name: dict(c.u) for c in spec}, "provenance": (told.get(None) or {"em_iterations_run": 0}) | {"u_source": source}}
+
+
+def _score_by(levels: DataFrame, spec: list[Comparison], weights: dict, by: str) -> DataFrame:
+    """(by, cohort_id, left_id, right_id, match_weight) with weights of its own for each value of ``by``, from a table of fields and levels."""
+    spark, names = levels.sparkSession, [c.name for c in spec]
+    rows = [(k, *[w[n][lv] for n in names for lv in LEVELS]) for k, w in weights.items()]
+    cols = [f"{n}__{lv}" for n in names for lv in LEVELS]
+    schema = f"`{by}` int, " + ", ".join(f"`{c}` double" for c in cols)
+    met = levels.join(F.broadcast(spark.createDataFrame(rows, schema)), by)  # a row for each replicate
+    part = lambda n: F.when(F.col(n) == LEVELS[0], F.col(f"`{n}__{LEVELS[0]}`")).when(F.col(n) == LEVELS[1], F.col(f"`{n}__{LEVELS[1]}`")).otherwise(F.col(f"`{n}__{LEVELS[2]}`"))
+    return met.select(by, "cohort_id", "left_id", "right_id", reduce(lambda a, b: a + b, [part(n) for n in names]).alias("match_weight"))
 
 
 def all_vectors(spec: list[Comparison]):

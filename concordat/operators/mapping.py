@@ -67,13 +67,14 @@ def map_cells(cells: DataFrame, plan: DataFrame, n_rules: int = 0) -> DataFrame:
     return cells.where("value is not null").join(small(plan.select(*KEY, *names), n_rules), KEY, "left")
 
 
-def mapped_rows(joined: DataFrame, persons: DataFrame, keep_source_concept: bool = True) -> DataFrame:
-    """The long mapped table of cells that have a rule; ``persons`` is (record_id, person_id).
+def mapped_rows(joined: DataFrame, persons: DataFrame, keep_source_concept: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """The long mapped table of cells that have a rule; ``persons`` is (record_id, person_id), and ``by`` if given.
 
     Concept ids are always 64 bits wide, also where there are no rows.
     """
-    rows = joined.where("rule_id is not null").join(persons, "record_id")
+    rows = joined.where("rule_id is not null").join(persons, [*by, "record_id"])
     out = rows.select(
+        *by,
         "person_id",
         "cohort_id",
         "cdm_table",
@@ -89,8 +90,8 @@ def mapped_rows(joined: DataFrame, persons: DataFrame, keep_source_concept: bool
     return out if keep_source_concept else out.drop("source_concept_id")
 
 
-def persons_of(people: DataFrame) -> DataFrame:
-    return people.select("person_id", F.explode("source_row_id").alias("record_id"))
+def persons_of(people: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return people.select(*by, "person_id", F.explode("source_row_id").alias("record_id"))
 
 
 def check_attached(joined: DataFrame, mapped: DataFrame) -> None:
@@ -100,9 +101,9 @@ def check_attached(joined: DataFrame, mapped: DataFrame) -> None:
         raise MappingError(f"{want} cells were to be mapped, {got} have a person")
 
 
-def unmapped(joined: DataFrame) -> DataFrame:
+def unmapped(joined: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(cohort_id, dataset_id, column, source_value, n_rows) of cells without a rule."""
-    return joined.where("rule_id is null").groupBy(*KEY, F.col("value").alias("source_value")).agg(F.count("*").alias("n_rows"))
+    return joined.where("rule_id is null").groupBy(*by, *KEY, F.col("value").alias("source_value")).agg(F.count("*").alias("n_rows"))
 
 
 def unmapped_fraction(joined: DataFrame) -> DataFrame:
@@ -193,9 +194,8 @@ def range_check(converted: DataFrame, rules: DataFrame, quantiles: tuple[float,
     return out.select("variable", F.coalesce("n", F.lit(0)).alias("n"), F.col("q")[0].alias("low"), F.col("q")[1].alias("high"), status.alias("status"))
 
 
-def check_ranges(checked: DataFrame, p: Params) -> list[dict]:
+def check_ranges(rows: list[dict], p: Params) -> list[dict]:
     """To be asked after the report is written."""
-    rows = [r.asDict() for r in checked.collect()]
     if p.fail_on_implausible_range and (bad := [r["variable"] for r in rows if r["status"] == "out-of-range"]):
         raise ConversionError(f"implausible after conversion: {sorted(bad)}")
     return rows

@@ -8,7 +8,6 @@ examples and samples of failures, which go by row order, look at cells again.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +35,10 @@ UNIT_PATTERNS = (
     ("bpm", r"bpm$", "/min", 0.9),
 )
 RANGE_CONFIDENCE = 0.3
+# What values from 0 up to a limit suggest (limit, unit, source); the narrowest range counts.
+SHARES = ((1, "1", "range:0..1"), (100, "1", "range:0..100"))
+# The other unit of time that values of a header's unit may be in (unit, limit, other, source).
+SWAPS = (("d", 60, "mo", "range:0..60"), ("mo", 60, "d", "range:0..60"))
 
 
 def is_missing(value: Column, na: tuple[str, ...]) -> Column:
@@ -124,6 +127,17 @@ def first_values(cells: DataFrame, k: int, keep: Column | None = None) -> DataFr
     return out.select(*KEY, F.expr(f"slice(transform(part, x -> x.value), 1, {k})" if k else "cast(array() as array<string>)").alias("values"))
 
 
+def unit_patterns(path: str | None) -> tuple:
+    """The patterns of a YAML file (label, regex, ucum, confidence), in its order; without a file the fixed ones."""
+    if path is None:
+        return UNIT_PATTERNS
+    import yaml
+
+    from concordat.sources.ingest import control_file
+
+    return tuple((x["label"], x["regex"], x["ucum"], float(x["confidence"])) for x in yaml.safe_load(control_file(path))["patterns"])
+
+
 def header_units(column: str, patterns=UNIT_PATTERNS) -> list[dict]:
     return [{"ucum": u, "source": f"header:{label}", "confidence": c} for label, rx, u, c in patterns if re.search(rx, column, re.IGNORECASE)]
 
@@ -131,19 +145,14 @@ def header_units(column: str, patterns=UNIT_PATTERNS) -> list[dict]:
 def unit_candidates(column: str, quantile: list[float] | None, infer_from_range: bool = True, patterns=UNIT_PATTERNS) -> list[dict]:
     """Units that a header or a range of values suggests; never one alone by force."""
     found = header_units(column, patterns)
-    if infer_from_range and quantile:
-        lo, hi = quantile[0], quantile[-1]
-        if lo >= 0 and hi <= 1:
-            found.append({"ucum": "1", "source": "range:0..1", "confidence": RANGE_CONFIDENCE})
-        elif lo >= 0 and hi <= 100:
-            found.append({"ucum": "1", "source": "range:0..100", "confidence": RANGE_CONFIDENCE})
-        swap = {"d": "mo", "mo": "d"}.get(found[0]["ucum"] if found and found[0]["source"].startswith("header:") else "")
-        if swap and lo >= 0 and hi <= 60:
-            found.append({"ucum": swap, "source": "range:0..60", "confidence": RANGE_CONFIDENCE})
-    return found
-
-
-def profile(cells: DataFrame, p: Params = Params(), unit_parser: Callable = unit_candidates) -> DataFrame:
+    if not infer_from_range or not quantile or quantile[0] < 0:
+        return found
+    first, most = found[0]["ucum"] if found else None, quantile[-1]
+    fits = [r for r in SHARES if most <= r[0]][:1] + [r[1:] for r in SWAPS if r[0] == first and most <= r[1]]
+    return found + [{"ucum": u, "source": source, "confidence": RANGE_CONFIDENCE} for _, u, source in fits]
+
+
+def profile(cells: DataFrame, p: Params = Params()) -> DataFrame:
     """One row for each column: all evidence that later stages use, or the reason for failing."""
     values = materialize(value_counts(cells), "profile-values")
     kinds = materialize(types(values, p), "profile-types")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import struct
 import zlib
 from html import escape
-from pathlib import Path
 
 
 class Image:
@@ -86,8 +85,3 @@ def evidence_svg(key: str, scores: list[tuple[str, float | None]]) -> str:
         rows.append(f'<text x="8" y="{y + 12}">{escape(name)}</text>')
         rows.append(f'<text x="170" y="{y + 12}">not scored</text>' if s is None else f'<rect x="170" y="{y}" width="{200 * s:.2f}" height="16"/><text x="376" y="{y + 12}">{s:.4f}</text>')
     return f'<svg xmlns="http://www.w3.org/2000/svg" width="440" height="{40 + 24 * len(scores)}" font-size="12"><text x="8" y="18">{escape(key)}</text>{"".join(rows)}</svg>\n'
-
-
-def save(data: bytes | str, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_bytes(data if isinstance(data, bytes) else data.encode())

@@ -12,6 +12,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 from concordat.errors import IngestError
+from concordat.storage import read_bytes
 
 # Columns and vocabularies of the control files.
 SHEET_COLUMNS = ("cohort_id", "dataset_id", "role", "path", "holdout")
@@ -131,7 +132,18 @@ def parse_pack(raw: bytes) -> Pack:
 
 
 def load_pack(path: str) -> Pack:
-    return parse_pack(Path(path).read_bytes())
+    """A pack from a local file or a URL (http, https or a file system's)."""
+    return parse_pack(control_file(path))
+
+
+def control_file(path: str) -> bytes:
+    """The bytes of a control file; they are small."""
+    if re.match(r"https?://", path):
+        from urllib.request import urlopen
+
+        with urlopen(path) as f:  # noqa: S310
+            return f.read()
+    return read_bytes(path) if "://" in path else Path(path).read_bytes()
 
 
 def params_hash(input: str, concept_pack: str, allow_single_dataset: bool) -> str:

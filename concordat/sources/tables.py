@@ -6,31 +6,48 @@ import csv
 import json
 from pathlib import Path
 
+import yaml
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.errors import IngestError
+from concordat.storage import write_bytes
 
 CELL = "replicate int, cohort_id string, dataset_id string, row_no long, record_id string, column string, value string"
 
 
-def headers(path: str) -> list[str]:
-    with open(path, newline="", encoding="utf-8", errors="replace") as f:
-        found = next(csv.reader(f), [])
+def headers(path: str, spark: SparkSession | None = None) -> list[str]:
+    """The header of a CSV file; paths with a scheme are read by Spark."""
+    if "://" in path:
+        row = (spark or SparkSession.active()).read.csv(path, header=False, multiLine=True, escape='"').first()
+        found = [x or "" for x in row] if row else []
+    else:
+        with open(path, newline="", encoding="utf-8", errors="replace") as f:
+            found = next(csv.reader(f), [])
     if repeated := sorted({h for h in found if found.count(h) > 1}):
         raise IngestError(f"{path}: repeated headers {repeated}")
     return found
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = False) -> DataFrame:
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some cell has a line break: only then has a line an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool | None = None) -> DataFrame:
     """A CSV file with a header, every cell as text.
 
     Rows that are too short are padded, too long ones cut; bytes that are not
     UTF-8 become U+FFFD. Empty cells are null. With ``columns`` the header is
-    not read again. Repeated headers are refused.
+    not read again. Repeated headers are refused. A file with line breaks inside
+    of cells can't be split; unless ``multiline`` says it, the lines are looked
+    through for them, and all other files are read in splits.
     """
-    names = columns or headers(path)
+    names = columns or headers(path, spark)
+    if multiline is None:
+        multiline = spans_lines(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE", multiLine=multiline, enforceSchema=True, escape='"')
 
@@ -92,17 +109,28 @@ def write_parquet(df: DataFrame, path: str, order: list[str] | None = None, sing
 
 
 def write_json(value, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, indent=2, sort_keys=True, ensure_ascii=False) + "\n", encoding="utf-8")
+    save(json.dumps(value, indent=2, sort_keys=True, ensure_ascii=False, default=str) + "\n", path)
+
+
+def save(data: bytes | str, path: str) -> None:
+    """Write a small file, local or at a URL of a file system."""
+    raw = data if isinstance(data, bytes) else data.encode()
+    if "://" in path:
+        write_bytes(path, raw)
+    else:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        Path(path).write_bytes(raw)
+
+
+def yaml_text(value) -> str:
+    """YAML with keys in the order given."""
+    return yaml.safe_dump(value, sort_keys=False, allow_unicode=True)
 
 
 def write_yaml(value, path: str) -> str:
     """Keys in the order given; returns the text."""
-    import yaml
-
-    text = yaml.safe_dump(value, sort_keys=False, allow_unicode=True)
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(text, encoding="utf-8")
+    text = yaml_text(value)
+    save(text, path)
     return text
 
 
