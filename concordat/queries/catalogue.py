@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concordat.queries import linking, mapping, profiling, proposing  # noqa: F401  they register themselves
+from concordat.queries import harness, linking, mapping, profiling, proposing, stages  # noqa: F401  they register themselves
 from concordat.queries.base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -137,16 +137,6 @@ def components_person_id(spark, sf):
     return L.resolve(records, scores.where("match_weight >= 6")).select("person_id", F.array_join("source_row_id", ",").alias("members"))
 
 
-@query()
-def em_weights(spark, sf):
-    names = [c.name for c in SPEC]
-    vectors = sorted((tuple(r[n] for n in names), r["n"]) for r in vector_counts(spark, sf).collect())
-    u = {c.name: c.u for c in SPEC}
-    m, _ = L.em(vectors, SPEC, u, 20)
-    w = L.weight_table(SPEC, m, u)
-    return spark.createDataFrame([(f, k, float(m[f][k]), float(x)) for f, v in w.items() for k, x in v.items()], "field string, level string, m double, weight double")
-
-
 @query(f"with {SCORES_SQL}, counted as (select count(*) as n_links from w where weight >= 6) select (select count(*) from s) as n_in, n_links from counted")
 def link_counts(spark, sf):
     records = _suppliers(spark, sf)

@@ -145,16 +145,6 @@ def ledger_topk(spark, sf):
     return G.top_proposals(best, ["col"], 5).select("col", "variable", "rank", F.format_string("%.4f", "total").alias("total"))
 
 
-@query()
-def evidence_ledger(spark, sf):
-    """The ranked ledger of two tables as rows."""
-    p, profiles = Params(), _profiles(spark, sf, "customer", "orders")
-    made = [r.asDict() for r in G.candidates(_frame(spark, profiles), G.pack_frame(spark, PACK), p, PACK.outcomes).collect()]
-    rows = G.evidence(profiles, made, [r.asDict() for r in G.pack_frame(spark, PACK).collect()], p, PACK.outcomes)
-    out = [(e["dataset_id"], e["column"], i, x["variable"], x["concept_id"], x["total"]) for e in G.ledger(made, rows, p) for i, x in enumerate(e["proposals"], 1)]
-    return spark.createDataFrame(out, "dataset_id string, column string, rank int, variable string, concept_id long, total double")
-
-
 @query(
     """with m as (select 'tpch' as cohort_id, case when c_custkey % 2 = 0 then 'a' else 'b' end as dataset_id, c_mktsegment as variable, 'col' || (c_nationkey % (1 + length(c_mktsegment) % 3)) as "column" from customer)
 select cohort_id, dataset_id, variable, array_to_string(list_sort(list(distinct "column")), ',') as columns from m group by 1, 2, 3 having count(distinct "column") > 1"""
