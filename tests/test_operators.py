@@ -15,6 +15,7 @@ from concordat.operators import linkage as L
 from concordat.operators import mapping as M
 from concordat.operators import profile as P
 from concordat.operators import propose as G
+from concordat.operators import ranks
 from concordat.operators.components import connected_components
 from concordat.plans import harmonise as H
 from concordat.sources import ingest as S
@@ -276,3 +277,144 @@ def test_dates_policies(spark):
     assert [str(r["date"]) for r in D.dates(df, "t").collect()] == ["2021-07-01", "2021-03-15", "None", "None"]
     assert [r["reason"] for r in D.dates(df, "t", "reject").collect()] == ["too-coarse", "too-coarse", "unreadable", None]
     assert D.dates(df, "t", today="2020-01-01").first()["reason"] == "future"
+
+
+def test_csv_cells_with_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,"say ""hi"", you"\n3,plain\n')
+    (tmp_path / "flat.csv").write_text('a,b\n1,"x ""q"" y"\n2,z\n')
+    assert T.spans_lines(spark, str(tmp_path / "t.csv")) and not T.spans_lines(spark, str(tmp_path / "flat.csv"))
+    for path in (str(tmp_path / "t.csv"), f"file://{tmp_path}/t.csv"):
+        rows = T.numbered(T.read_text_csv(spark, path)).orderBy("row_no").collect()
+        assert [(r["row_no"], r["a"], r["b"]) for r in rows] == [(1, "1", "x\ny"), (2, "2", 'say "hi", you'), (3, "3", "plain")]
+    assert T.headers(f"file://{tmp_path}/t.csv", spark) == ["a", "b"]
+    (tmp_path / "pack.yaml").write_bytes(PACK)
+    assert S.load_pack(f"file://{tmp_path}/pack.yaml") == S.load_pack(str(tmp_path / "pack.yaml"))
+
+
+def test_known_rule_ids():
+    """Published ids of two rules, one of them without a unit."""
+    at = {"cohort_id": "COHORT_PROPOSE", "dataset_id": "propose_test", "decision": "accept"}
+    made = K.compile_rules([at | {"column": "SEX_CODE", "variable": "sex", "concept_id": 100}, at | {"column": "WEIGHT_KG", "variable": "weight", "concept_id": 200, "unit_in": "kg"}], "0.1.0")
+    assert [r["rule_id"] for r in made] == ["R-f20c4a8dbab7517246af57c820459a85b2857be32cda7db0a66e87253aff627a", "R-12dce2fe7e153d9dc3456b4c2830e69c772324082c0b0e53ca3dee16a935d5d9"]
+
+
+def test_value_groups():
+    row = {"dataset_id": "d", "column": "c", "decision": "accept"}
+    one = {"from": ["b", 1], "to": "x", "rationale": "r"}
+    assert K.value_groups(row) == [] and K.value_groups(row | {"value_map": [one]}) == [{"from": ["1", "b"], "to": "x", "concept_id": None, "rationale": "r"}]
+    # A rationale is asked of accepted groups, and only if it is required at all.
+    bare = {"from": ["b"], "to": "x"}
+    with pytest.raises(ConfirmError, match="rationale"):
+        K.value_groups(row | {"value_map": [bare]})
+    assert K.value_groups(row | {"value_map": [bare]}, require_rationale=False) and K.value_groups(row | {"decision": "remap", "value_map": [bare]})
+    for bad in (None, [], "x", [one, "x"], [one | {"to": " "}], [one | {"from": [["a"]]}], [one | {"concept_id": "7"}], [one, one | {"from": ["c"]}]):
+        with pytest.raises(ConfirmError):
+            K.value_groups(row | {"value_map": bad})
+    with pytest.raises(ConfirmError, match="accept and remap.*non-empty from"):  # all faults at once
+        K.value_groups(row | {"decision": "defer", "value_map": [one | {"from": []}]})
+
+
+def test_unit_families():
+    fit = lambda a, b: G.unit_plausibility({"candidate_units": [{"ucum": a, "confidence": 0.9}]}, {"unit": b}, Params())[0]
+    assert (fit("mm", "m"), fit("cm", "m"), fit("mo", "d"), fit("kg", "g"), fit("kg", "d"), fit("cm", "cm")) == (0.0, 0.0, 0.45, 0.45, 0.0, 0.9)
+
+
+def test_unit_pattern_file(tmp_path):
+    (tmp_path / "u.yaml").write_text("patterns:\n  - {label: STONE, regex: '_st$', ucum: '[stone_av]', confidence: 0.7}\n")
+    rows = G.with_units([{"column": "WEIGHT_ST", "quantiles": None}, {"column": "WEIGHT_KG", "quantiles": None}], Params(unit_header_patterns=str(tmp_path / "u.yaml")))
+    assert [[u["ucum"] for u in r["candidate_units"]] for r in rows] == [["[stone_av]"], []]
+
+
+def test_ranks_and_quantiles(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(int(g), float(x), 1 + int(n)) for g, n, x in zip(rng.integers(0, 3, 4000), rng.integers(0, 3, 4000), np.round(rng.normal(size=4000), 2), strict=True)]
+    df = spark.createDataFrame(rows + [(9, 5.0, 1)], "g int, x double, n long").groupBy("g", "x").agg({"n": "sum"}).toDF("g", "x", "n").repartition(5)
+    flat = {}
+    for r in df.collect():
+        flat.setdefault(r["g"], []).extend([r["x"]] * r["n"])
+    for r in ranks.quantiles(df, ["g"], P.PROBABILITIES, totals=True).collect():
+        assert r["quantiles"] == pytest.approx(np.quantile(flat[r["g"]], P.PROBABILITIES).tolist()) and r["total"] == len(flat[r["g"]])
+    got = [(r["g"], r["rank"], r["x"]) for r in ranks.ranked(df.drop("n"), ["g"], ["x"]).orderBy("g", "rank").collect()]
+    assert got == [(g, i, x) for g in sorted(flat) for i, x in enumerate(sorted(set(flat[g])), 1)]
+    assert ranks.quantiles(df.where("false"), ["g"], (0.5,)).count() == 0 == ranks.ranked(df.where("false"), ["g"], ["x"]).count()
+
+
+def test_gates_close_after_publishing(spark, study):
+    """Each stage's reports are on disk when its gate refuses; without blocking rules the fixed ones are used."""
+    out = study / "out"
+    with pytest.raises(ConcordatError, match="columns failed"):
+        rows = (study / "a.csv").read_text().replace("male,50", "male,fifty")
+        (study / "a.csv").write_text(rows)
+        H.run(spark, Params(input=str(study / "sheet.csv"), concept_pack=str(study / "pack.yaml"), max_failed_frac=0.0), str(study), out=str(out))
+    assert json.loads((out / "profile/failures.json").read_text())[0]["column"] == "WEIGHT_KG" and not (out / "link").exists()
+    files = {"blocking_rules": str(study / "block.yaml"), "link_comparison_spec": str(study / "cmp.yaml")}
+    with pytest.raises(LinkError, match="persons"):
+        H.run(spark, params(study, **files, match_threshold=3.0, clerical_threshold=1.0, max_collapse_ratio_drop=0.9), str(study), out=str(out))
+    assert json.loads((out / "link/link_report.json").read_text())["n_persons"] == 6
+    assert {f.name for f in (out / "link").iterdir()} == {"candidate_pairs.parquet", "scores.parquet", "clerical.parquet", "links.parquet", "match_weights.png", "block_report.json", "link_report.json"}
+    r = H.run(spark, params(study, stop_after="propose"), str(study), out=str(out))
+    assert r.results["block_report"]["warnings"] == ["no rule applies to any table"] and r.results["link_report"]["n_persons"] == 12
+    assert (out / "ingest/ingest_manifest.json").read_text().count("\n") == 1 and (out / "propose/evidence.json").exists()
+    digest = I.hashlib.sha256(r.results["ledger_bytes"]).hexdigest()
+    (study / "confirmed.yaml").write_text(yaml.safe_dump([{"cohort_id": "C", "dataset_id": "a", "column": "SEX_CODE", "decision": "accept", "variable": "sex", "concept_id": 100, "confirmed_by": "me", "rationale": "seen", "proposed_hash": digest}]))
+    with pytest.raises(ConcordatError, match="unmapped"):
+        H.run(spark, params(study, confirmed_ledger=str(study / "confirmed.yaml"), max_unmapped_frac=0.1), str(study), out=str(out))
+    assert spark.read.parquet(str(out / "mapped/person.parquet")).count() == 12 and spark.read.parquet(str(out / "mapped/_unmapped.parquet")).count() > 0
+    assert (out / "mapped/value_qc.json").exists() and (out / "rules/ruleset.json").exists()
+
+
+def test_harness_in_map_scope(spark, tmp_path):
+    from concordat.queries import harness
+
+    r = harness.study(spark, str(tmp_path))
+    assert r.records.count() == 54
+    found = H.prove(spark, r, [1, 2], scope="map")
+    assert found["verdict"] == "proof" and found["n_distinct_hashes"] == 1 and found["scope"] == "map"
+
+    def leaky(records):  # a negative control: who is one person hangs on the outcome
+        people = H.L.resolve(records, records.select("replicate", "cohort_id", "record_id").limit(0).withColumnsRenamed({"record_id": "left_id"}).withColumn("right_id", H.F.col("left_id")), ("replicate", "cohort_id"))
+        return people.withColumn("person_id", H.F.concat("person_id", H.F.lit("-"), H.F.col("replicate") % 2))
+
+    assert H.prove(spark, r, [1, 2], scope="map", people_with=leaky)["verdict"] == "leak"
+    assert H.prove(spark, r, [1, 2], scope="map", requested=10)["verdict"] == "insufficient-permutations"
+    r.results.pop("rules")
+    assert H.prove(spark, r, [1], scope="map")["verdict"] == "no-mapped-artefact"
+    r.tables = {k: t.drop("TIME_TO_EVENT") for k, t in r.tables.items()}
+    assert H.prove(spark, r, [1])["verdict"] == "no-outcome-column"
+
+
+def test_seeded_runs_end_at_their_scope():
+    assert H.check_seeds(Params(permute_outcome_seed="1..3", stop_after="propose")) == [1, 2, 3] and H.check_seeds(Params()) == []
+    assert H.check_seeds(Params(permute_outcome_seed="4", invariant_scope="map")) == [4]
+    for bad in ({"stop_after": "ingest"}, {"stop_after": "map"}, {"stop_after": None}):
+        with pytest.raises(ConcordatError):
+            H.check_seeds(Params(permute_outcome_seed="1", **bad))
+
+
+def test_seams(spark, study):
+    seen = []
+    seams = H.Seams(holdout_policy=lambda d, lock: seen.append(d.dataset_id) or not d.holdout, ledger_writer=lambda proposed, rows, p: G.ledger(proposed, rows, p)[:1], unit_parser=lambda *a: [])
+    r = H.run(spark, params(study, stop_after="propose"), str(study), seams=seams)
+    assert seen == ["a", "h"] and len(r.results["ledger"]) == 1 and all(x["candidate_units"] == [] for x in r.results["profiles"])
+
+
+def test_emit_and_schema(spark, tmp_path):
+    rows = [("P-1", "C", "person", "person", 1, "m", 0, None, None, "R-1", "1.0"), ("P-1", "C", "measurement", "measurement", 2, "5", 0, None, 5.0, "R-2", "1.0")]
+    mapped = spark.createDataFrame(rows, "person_id string, cohort_id string, cdm_table string, domain string, concept_id long, source_value string, source_concept_id long, datetime timestamp_ntz, value_as_number double, rule_id string, rule_version string")
+    D.emit(mapped, str(tmp_path), spark.range(3), "demo")
+    schema = json.loads((tmp_path / "schema/measurement.schema.json").read_text())
+    made = spark.read.parquet(str(tmp_path / "measurement.parquet"))
+    assert made.count() == 1 and schema["required"] == made.columns and schema["properties"]["value_as_number"] == {"type": ["number", "null"]}
+    assert spark.read.parquet(str(tmp_path / "_extension/demo.parquet")).count() == 3
+
+
+def test_no_study_terms():
+    """The engine names no disease, criterion, gene or consortium; those belong to packs."""
+    import re
+    from pathlib import Path
+
+    terms = re.compile("melanoma|nsclc|carcinoma|RECIST|MS4A4A|HARTWIG|TCGA", re.IGNORECASE)  # fixed values
+    for f in Path(H.__file__).resolve().parents[1].rglob("*.py"):
+        assert not terms.search(f.read_text()), f
