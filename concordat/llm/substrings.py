@@ -31,8 +31,8 @@ from concordat.storage import bounded_batches, discard, materialize, ship
 
 WINDOW = 50
 GRAM = 10
-SHARD_WORDS = 600_000
-SPLIT_SEGMENTS = 16_000  # an anchor is dealt out by window once its segments alone are about two shards
+SHARD_WORDS = 400_000
+SPLIT_SEGMENTS = 8_000  # an anchor is dealt out by window once its segments alone are about two shards
 
 
 def sliding(h: np.ndarray, w: int, op) -> np.ndarray:
