@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from concordat.config import CHANNELS, Params
+from concordat.config import Params
 from concordat.functions import text as X
 from concordat.operators import confirm as K
 from concordat.operators import profile as P
@@ -156,18 +156,40 @@ def rule_collisions(spark, sf):
     return K.collisions(c).withColumn("columns", F.array_join("columns", ","))
 
 
-@query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null)")
-def anti_match(spark, sf):
-    decided = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return decided.join(table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+@query(
+    GEN_SQL
+    + """, k as (select distinct dataset_id, "column", variable from g)
+select k.dataset_id, k."column", k.variable, 6 as n_channels, 2 as n_disabled, 2 + 1 + case when type is null then 1 else 0 end + case when len(dom) = 0 and type is distinct from 'continuous' then 1 else 0 end as n_unscored
+from k join v on v.variable = k.variable"""
+)
+def evidence_channels(spark, sf):
+    """Six rows of evidence for each candidate, also of channels that are switched off or can't tell."""
+    p, profiles = Params(enabled_channels=("name_similarity", "type_agreement", "cardinality", "distribution_distance")), _profiles(spark, sf, "customer", "orders")
+    made = [r.asDict() for r in G.candidates(_frame(spark, profiles), G.pack_frame(spark, PACK), p, PACK.outcomes).collect()]
+    rows = [(e["dataset_id"], e["column"], e["variable"], int(e["detail"].get("status") == "disabled"), int(e["status"] != "scored")) for e in G.evidence(profiles, made, [r.asDict() for r in G.pack_frame(spark, PACK).collect()], p, PACK.outcomes)]
+    out = spark.createDataFrame(rows, "dataset_id string, column string, variable string, off int, unscored int").groupBy("dataset_id", "column", "variable")
+    return out.agg(F.count("*").cast("int").alias("n_channels"), F.sum("off").cast("int").alias("n_disabled"), F.sum("unscored").cast("int").alias("n_unscored"))
+
 
+UNIT_HEADERS = (("l_quantity", "OS_MONTHS"), ("l_extendedprice", "GLUCOSE_MGDL"), ("l_discount", "RATE_PCT"), ("l_suppkey", "PATIENT_ID"))
+UNIT_PACK = Pack("units", "1.0", "none", (Variable("survival", "measurement", 1, "continuous", unit="d"), Variable("sugar", "measurement", 2, "continuous", unit="mg/dL"), Variable("share", "measurement", 3, "continuous", unit="%"), Variable("fraction", "measurement", 4, "continuous", unit="1")))
 
-@query("with p as (select c_custkey, count(o_orderkey) as n from customer left join orders on o_custkey = c_custkey group by all) select c_custkey, n from p where n <> 6")
-def channel_completeness(spark, sf):
-    """Keys whose number of evidence rows is not the number of channels."""
-    ev = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    every = table(spark, sf, "customer").select("c_custkey").join(ev, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"))
-    return every.where(F.col("n") != len(CHANNELS))
+
+@query(
+    """with r as (select min(l_quantity) as q0, max(l_quantity) as q1, min(l_discount) as d0, max(l_discount) as d1, min(l_suppkey) as s0, max(l_suppkey) as s1, min(l_extendedprice) as p0, max(l_extendedprice) as p1 from lineitem)
+select 'OS_MONTHS' as "column", 'survival' as variable, 'unit' as generator_id from r where q0 >= 0 and q1 <= 60
+union all select 'GLUCOSE_MGDL', 'sugar', 'unit' union all select 'RATE_PCT', 'share', 'unit'
+union all select 'OS_MONTHS', 'fraction', 'unit' from r where q0 >= 0 and q1 <= 100 union all select 'RATE_PCT', 'fraction', 'unit' from r where d0 >= 0 and d1 <= 100
+union all select 'PATIENT_ID', 'fraction', 'unit' from r where s0 >= 0 and s1 <= 100 union all select 'GLUCOSE_MGDL', 'fraction', 'unit' from r where p0 >= 0 and p1 <= 100"""
+)
+def unit_generator(spark, sf):
+    """Candidates by unit, from headers and ranges of values."""
+    ends = table(spark, sf, "lineitem").agg(*[F.array(F.min(c).cast("double"), F.max(c).cast("double")).alias(n) for c, n in UNIT_HEADERS]).first()
+    profiles = G.with_units([{"cohort_id": "tpch", "dataset_id": "lineitem", "column": n, "unique_values": [], "quantiles": ends[n]} for _, n in UNIT_HEADERS], Params())
+    rows = [tuple(x[k] for k in ("cohort_id", "dataset_id", "column", "unique_values", "candidate_units")) for x in profiles]
+    frame = spark.createDataFrame(rows, "cohort_id string, dataset_id string, column string, unique_values array<string>, candidate_units array<struct<ucum:string,source:string,confidence:double>>")
+    made = G.candidates(frame, G.pack_frame(spark, UNIT_PACK), Params(candidate_generators=("unit",)))
+    return made.where("variable is not null").select("column", "variable", "generator_id")
 
 
 @query(

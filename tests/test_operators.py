@@ -418,3 +418,13 @@ def test_no_study_terms():
     terms = re.compile("melanoma|nsclc|carcinoma|RECIST|MS4A4A|HARTWIG|TCGA", re.IGNORECASE)  # fixed values
     for f in Path(H.__file__).resolve().parents[1].rglob("*.py"):
         assert not terms.search(f.read_text()), f
+
+
+def test_report(tmp_path):
+    from concordat.plans.report import write_report
+
+    T.write_json([{"column": "A<b>", "inferred_type": "int"}] * 60, f"{tmp_path}/profile/profiles.json")
+    T.save('{"dataset_id": "d"}\n{"dataset_id": "e"}\n', f"{tmp_path}/ingest/ingest_manifest.json")
+    T.save(b"x", f"{tmp_path}/link/match_weights.png")
+    page = open(write_report(str(tmp_path))).read()
+    assert "A&lt;b&gt;" in page and "10 more" in page and "Datasets" in page and "Rules" not in page and 'src="link/match_weights.png"' in page
