@@ -6,7 +6,7 @@ of template tokens are hashed and joined with those of the benchmark. On each
 alignment of a document with an item the names must be consistent: one name of
 the item always stands for one name of the document, else windows with that
 name count only where they are verbatim. Equal numbers and units may be
-independent quantities and may differ. So verbatim passages are found, and
+independent quantities and may differ, and a name may have any number of words. So verbatim passages are found, and
 questions with other numbers or names.
 """
 
@@ -108,8 +108,26 @@ class Wanted:
         return at[self.hashes[i] == h[at]] if len(self.hashes) else at
 
 
+def folded(token: np.ndarray, value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first words, values, bounds) of the tokens when each run of names is one name, whose value is that of all its words.
+
+    A capitalised word of no name that stands before a run belongs to it, for all that can be told.
+    """
+    name = token == NAME
+    follows = name.copy()
+    follows[1:] &= name[:-1]
+    follows[:1] = False
+    follows[bounds[:-1][bounds[:-1] < len(token)]] = False
+    first = np.flatnonzero(~follows)
+    if not len(first):
+        return first, value, bounds
+    place = np.arange(len(token)) - np.repeat(first, np.diff(np.append(first, len(token))))
+    spread = np.where(place > 0, mix(value + place.astype(np.uint64) * MUL), value)
+    return first, np.add.reduceat(spread, first), np.searchsorted(first, bounds)
+
+
 def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
-    """Yield (size, document, position in it, hash, slots, same) of windows; ``sizes`` None: of the one size each text needs as an item.
+    """Yield (k, document, run, pos, fold, first word, end, hash, slots, same) of windows of ``k`` tokens; ``sizes`` None: of the sizes each text needs as an item.
 
     What stands before a window decides whether its first word is taken for a
     name or unit, so such a window is hashed with its first word as a literal
@@ -117,41 +135,60 @@ def windows(texts: pa.Array, sizes: list[int] | None, wanted: Wanted | None):
     so a verbatim copy is found whatever its words are taken for. ``same`` has
     the words that are equal by the hash itself though they are slots elsewhere.
     A template with too few literal tokens names nothing in particular: such
-    windows match verbatim only. The lowest bit of a slot's value tells names.
+    windows match verbatim only. A window over a run of names is also hashed
+    with the run as one name, so names may have other numbers of words; ``run``
+    marks those, and ``fold`` is a window's place when all runs are folded. The
+    lowest bit of a slot's value tells names.
     """
     token, value, slot, bounds = templates(texts)
-    length = np.diff(bounds)
-    ends = np.repeat(bounds[1:], length)
-    filled = np.concatenate(([0], np.cumsum(slot)))
-    unsure = slot & (token != NUM)
+    n = len(token)
+    first, joint, folds = folded(token, value, bounds)
     coded = (value & ~np.uint64(1)) | (token == NAME)
+    unsure = slot & (token != NUM)
+    place = np.searchsorted(first, np.arange(n), side="right") - 1  # of each word among the folded tokens
+    width = np.diff(np.append(first, n))
+    plain = (token, value, slot, coded, bounds, np.arange(n + 1), place)
+    runs = (token[first], joint, slot[first], (joint & ~np.uint64(1)) | (token[first] == NAME), folds, np.append(first, n), np.arange(len(first)))
     every = np.arange(WINDOW)
-    for k in sorted({int(min(WINDOW, x)) for x in length if x >= LEAST_ITEM}) if sizes is None else sizes:
-        tail = rolled(token[1:], k - 1)
-        n = len(tail)
-        fits = np.arange(k, n + k) <= ends[:n]
+
+    def forms(stream, k: int, run: bool):
+        """(windows, first word, hash of the others, words that are equal by the hash) of a stream."""
+        tok, val, hole, _, ends, _, _ = stream
+        tail = rolled(tok[1:], k - 1)
+        m = len(tail)
+        length = np.diff(ends)
+        fits = np.arange(k, m + k) <= np.repeat(ends[1:], length)[:m]
         if sizes is None:
-            fits &= np.repeat(np.minimum(length, WINDOW), length)[:n] == k
-        slots = filled[k:][:n] - filled[:n]
+            fits &= np.repeat(np.minimum(length, WINDOW), length)[:m] == k
+        filled = np.concatenate(([0], np.cumsum(hole)))
+        slots = filled[k:][:m] - filled[:m]
         few = k * (1 - LITERAL_SHARE)
-        bare = rolled(value[1:], k - 1)
-        # (windows, first word, hash of the others, words that are equal by the hash)
-        forms = (
-            (fits & (slots <= few), token, tail, every < 0),
-            (fits & (slots - 1 <= few) & unsure[:n], value, tail, every < 1),
-            (fits & (slots > 0), value, bare, every >= 0),
+        if run:
+            wide = np.concatenate(([0], np.cumsum(width > 1)))
+            return ((fits & (slots <= few) & (wide[k:][:m] > wide[:m]), tok, tail, every < 0),)
+        return (
+            (fits & (slots <= few), tok, tail, every < 0),
+            (fits & (slots - 1 <= few) & unsure[:m], val, tail, every < 1),
+            (fits & (slots > 0), val, rolled(val[1:], k - 1), every >= 0),
         )
-        for ok, head, rest, equal in forms:
-            at = np.flatnonzero(ok)
-            h = mix(head[at] * MUL + rest[at]).view(np.int64)
-            if wanted is not None:
-                hit = wanted.among(h)
-                at, h = at[hit], h[hit]
-            if len(at):
-                doc = np.searchsorted(bounds, at, side="right") - 1
-                grid = at[:, None] + np.arange(k)
-                hole, words = slot[grid], coded[grid]
-                yield k, doc, at - bounds[doc], h, _lists(words, hole & ~equal[:k]), _lists(words, hole & equal[:k])
+
+    for stream, run in ((plain, False), (runs, True)):
+        length = np.diff(stream[4])
+        own = sorted({int(min(WINDOW, x)) for x in length if x >= LEAST_ITEM}) if sizes is None else sizes
+        for k in own if not run or (width > 1).any() else []:
+            for ok, head, rest, equal in forms(stream, k, run):
+                at = np.flatnonzero(ok)
+                h = mix(head[at] * MUL + rest[at]).view(np.int64)
+                if wanted is not None:
+                    hit = wanted.among(h)
+                    at, h = at[hit], h[hit]
+                if len(at):
+                    _, _, hole, words, ends, begin, fold = stream
+                    doc = np.searchsorted(ends, at, side="right") - 1
+                    grid = at[:, None] + np.arange(k)
+                    holes, own_words = hole[grid], words[grid]
+                    a, b = begin[at] - bounds[doc], begin[at + k] - bounds[doc]
+                    yield k, doc, run, at - ends[doc], fold[at] - folds[doc], a, b, h, _lists(own_words, holes & ~equal[:k]), _lists(own_words, holes & equal[:k])
 
 
 def _lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:
@@ -160,13 +197,13 @@ def _lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:
 
 
 def _passages(line: DataFrame) -> DataFrame:
-    """Alignments with the windows (pos, pairs) that count.
+    """Alignments with the windows (pos, a, b, pairs) that count.
 
     With consistent names all do. Else the verbatim ones and those without a
     name at odds are left, and of these the passages that are long enough each
     by itself, so that pieces between the contradictions do not add up.
     """
-    k, least = F.least("size", F.lit(WINDOW)), F.least("size", F.lit(LEAST_COVER))
+    k, least = F.col("k"), F.least("size", F.lit(LEAST_COVER))
     windows, names, odd, kept, pos = (F.col(c) for c in ("windows", "names", "odd", "kept", "pos"))
     line = line.withColumn("names", F.array_sort(F.transform(F.array_distinct(F.filter(F.flatten(windows["pairs"]), lambda p: p["theirs"].bitwiseAND(1) == 1)), lambda p: p["theirs"])))
     line = line.withColumn("odd", F.array_distinct(F.filter(names, lambda n, i: (i > 0) & (F.get(names, i - 1) == n))))
@@ -176,23 +213,25 @@ def _passages(line: DataFrame) -> DataFrame:
     stops = F.filter(pos, lambda p, i: (i == F.size(pos) - 1) | (F.get(pos, i + 1) > p + k))
     long = F.filter(F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda s: s["b"] + k - s["a"] >= least)
     passages = F.flatten(F.transform(long, lambda s: F.filter(kept, lambda w: w["pos"].between(s["a"], s["b"]))))
-    return line.select("row", "id", "size", F.when(F.size(odd) == 0, windows).otherwise(passages).alias("windows"))
+    return line.select("row", "id", "size", "run", F.when(F.size(odd) == 0, windows).otherwise(passages).alias("windows"))
 
 
-FOUND = f"id {ROW}, size int, pos int, h long, slots array<long>, same array<long>"
+FOUND = f"id {ROW}, size int, k int, run boolean, pos int, fold int, a int, b int, h long, slots array<long>, same array<long>"
 
 
 def _windows_of(sizes: list[int] | None, hashes: np.ndarray | None):
-    """A mapInArrow function over (id, text); ``sizes`` None: what each text itself needs as an item, with its number of words as size."""
+    """A mapInArrow function over (id, text); ``sizes`` None: what each text itself needs as an item. ``size`` is its number of words."""
 
     def run(batches):
         wanted = None if hashes is None else Wanted(hashes)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             length = np.diff(templates(texts)[3]) if sizes is None else None
-            for k, doc, pos, h, slots, same in windows(texts, sizes, wanted):
+            for k, doc, folds, pos, fold, a, b, h, slots, same in windows(texts, sizes, wanted):
                 size = np.full(len(doc), k) if length is None else length[doc]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(size.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(h), slots, same], names=["id", "size", "pos", "h", "slots", "same"])
+                whole = [pa.array(np.broadcast_to(x, len(doc)).astype(np.int32)) for x in (size, k)]
+                places = [pa.array(x.astype(np.int32)) for x in (pos, fold, a, b)]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), *whole, pa.array(np.full(len(doc), folds)), *places, pa.array(h), slots, same], names=["id", "size", "k", "run", "pos", "fold", "a", "b", "h", "slots", "same"])
 
     return sliced(1, run)
 
@@ -204,7 +243,7 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     ``LEAST_COVER`` of the item's words, or the whole item if it is shorter; on
     an alignment where names contradict each other, its passages must do so
     each by itself (:func:`_passages`).
-    ``reworded``: slots hold other values than the item's. Items of fewer than
+    ``reworded``: not all that is covered is verbatim. Items of fewer than
     ``LEAST_ITEM`` words and null texts match nothing; null ids are carried
     along; repeated items and rows are each reported. ``row`` is the row's
     :func:`row_key`.
@@ -222,19 +261,25 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
     wanted = None
     if distinct.count() <= filter_windows:
         wanted = np.array([r["h"] for r in distinct.collect()], dtype=np.int64)
-    sizes = sorted(r["k"] for r in theirs.select(F.least("size", F.lit(WINDOW)).alias("k")).distinct().collect()) or [WINDOW]
+    sizes = sorted(r["k"] for r in theirs.select("k").distinct().collect()) or [WINDOW]
     rows = docs.select(row_key(docs["doc_id"], docs["text"]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    ours = rows.select("row", "text").mapInArrow(_windows_of(sizes, wanted), FOUND).select(F.col("id").alias("row"), F.col("size").alias("k"), F.col("pos").alias("at"), "h", F.col("slots").alias("mine"))
-    met = ours.join(theirs, "h").where(F.least("size", F.lit(WINDOW)) == F.col("k"))
-    met = met.select("row", "id", "size", (F.col("at") - F.col("pos")).alias("shift"), "pos", F.expr("concat(zip_with(slots, mine, (t, m) -> struct(t as theirs, m as mine)), transform(same, s -> struct(s as theirs, s as mine)))").alias("pairs"))
+    ours = rows.select("row", "text").mapInArrow(_windows_of(sizes, wanted), FOUND).select(F.col("id").alias("row"), "k", F.col("run").alias("our_run"), F.col("pos").alias("at"), F.col("fold").alias("our_fold"), "h", F.col("slots").alias("mine"))
+    met = ours.join(theirs, ["h", "k"]).withColumn("run", F.col("run") | F.col("our_run"))
+    # Where a run of names counts as one, places are told with all runs folded, on both sides.
+    at, pos = F.when(F.col("run"), F.col("our_fold")).otherwise(F.col("at")), F.when(F.col("run"), F.col("fold")).otherwise(F.col("pos"))
+    pairs = F.expr("concat(zip_with(slots, mine, (t, m) -> struct(t as theirs, m as mine)), transform(same, s -> struct(s as theirs, s as mine)))")
+    met = met.select("row", "id", "size", "k", "run", (at - pos).alias("shift"), pos.alias("pos"), "a", "b", pairs.alias("pairs"))
     # A passage may lie on one alignment only once, so these lists are no longer than the item's hashes.
-    line = met.groupBy("row", "id", "size", "shift").agg(F.collect_set(F.struct("pos", "pairs")).alias("windows"))
+    line = met.groupBy("row", "id", "size", "k", "run", "shift").agg(F.collect_set(F.struct("pos", "a", "b", "pairs")).alias("windows"))
     steady = _passages(line).where("size(windows) > 0")
-    whole = steady.groupBy("row", "id", "size").agg(F.array_distinct(F.flatten(F.collect_set("windows.pos"))).alias("pos"), F.array_distinct(F.flatten(F.flatten(F.collect_set("windows.pairs")))).alias("pairs"))
-    covered = F.expr(f"size(array_distinct(flatten(transform(pos, p -> sequence(p, p + least(size, {WINDOW}) - 1)))))")
-    leaks = whole.withColumn("n_covered", covered).where(F.col("n_covered") >= F.least("size", F.lit(LEAST_COVER)))
+    # What is verbatim is so word by word.
+    verbatim = F.filter("windows", lambda w: ~F.col("run") & F.forall(w["pairs"], lambda p: p["theirs"] == p["mine"]))
+    spans = lambda windows: F.array_distinct(F.flatten(F.collect_set(F.transform(windows, lambda w: F.struct(w["a"], w["b"])))))
+    whole = steady.groupBy("row", "id", "size").agg(spans(F.col("windows")).alias("spans"), spans(verbatim).alias("exact"), F.array_distinct(F.flatten(F.flatten(F.collect_set("windows.pairs")))).alias("pairs"))
+    covered = lambda c: F.expr(f"size(array_distinct(flatten(transform({c}, s -> sequence(s.a, s.b - 1)))))")
+    leaks = whole.withColumn("n_covered", covered("spans")).where(F.col("n_covered") >= F.least("size", F.lit(LEAST_COVER)))
     leaks = leaks.select(
-        "row", "id", F.size("pos").alias("n_windows"), "n_covered", F.col("size").alias("n_words"), F.size("pairs").alias("n_slots"), F.expr("exists(pairs, p -> p.theirs <> p.mine)").alias("reworded")
+        "row", "id", F.size("spans").alias("n_windows"), "n_covered", F.col("size").alias("n_words"), F.size("pairs").alias("n_slots"), (covered("exact") < F.col("n_covered")).alias("reworded")
     )
     named = leaks.join(items.select("id", "item_id"), "id").drop("id")
     return rows.select("row", "doc_id").join(named, "row").select("row", "doc_id", "item_id", "n_windows", "n_covered", "n_words", "n_slots", "reworded")

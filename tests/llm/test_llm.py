@@ -290,6 +290,16 @@ def test_decontaminate_contradictions(spark):
     assert got[0][1] == got[0][2] and 23 <= got[1][1] and got[2][1] == 19
 
 
+def test_decontaminate_names_of_any_length(spark):
+    item = "Suddenly Tom Baker bought 3 kg of fresh apples and later that day Tom Baker sold 2 kg of them to Mary for 12 dollars"
+    texts = [item, item.lower(), item.replace("Tom Baker", "Mary Jane Baker Smith"), item.replace("Tom Baker", "Tom").replace("Mary", "Mary Ann"), item.replace("3 kg", "three kilograms"), item.replace("day Tom Baker", "day Bob Jones").replace("Mary", "Tom Baker").replace("3", "9").replace("2", "4")]
+    got = leaks(spark, [(item, f"{t} then") for t in texts])
+    assert [(i, n >= 13, reworded) for i, n, _, reworded in got] == [(0, True, False), (1, True, False), (2, True, True), (3, True, True), (4, True, True)]
+    token, value, _, bounds = decontaminate.templates(pa.array(["see Tom Baker go", "Tom Baker", "see Ann"]))
+    first, joint, ends = decontaminate.folded(token, value, bounds)
+    assert first.tolist() == [0, 1, 3, 4, 5, 6, 7] and ends.tolist() == [0, 3, 5, 7] and joint[0] == value[0] and joint[1] not in value.tolist() and joint[6] == value[7]
+
+
 def test_quality(spark):
     d, lab = registry.table(spark, "/root/testdata/sf0.01", "documents"), registry.table(spark, "/root/testdata/sf0.01", "labels")
     got = quality.classify(d, lab).join(lab, "doc_id").where("held_out").toPandas()
