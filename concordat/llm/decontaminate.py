@@ -286,7 +286,11 @@ def find(docs: DataFrame, benchmark: DataFrame, filter_windows: int = FILTER_WIN
 
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that leak no item, with their own columns."""
+    """Rows of ``docs`` that leak no item, with their own columns.
+
+    Null and empty texts leak nothing and stay, null ids are like any other;
+    repeated rows stay or go together. An empty benchmark removes nothing.
+    """
     mark = "__decontaminate_row"
     leaking = find(docs, benchmark).select(F.col("row").alias(mark)).distinct()
     return docs.withColumn(mark, row_key(docs["doc_id"], docs["text"])).join(leaking, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

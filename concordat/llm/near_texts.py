@@ -5,8 +5,9 @@ together; inside a bucket signatures are compared some values at a time, and a
 pair is dropped once the posterior probability that its similarity reaches the
 threshold falls below a tolerance. Surviving pairs are written only as spanning
 edges; their components are small cells in which all similarities are taken
-exactly from the shingle sets, so no link between different texts is lost to
-the way it was found, and no list of pairs is ever written.
+exactly from the shingle sets, and no list of pairs is ever written. A link is
+lost only if no chain of surviving pairs joins its two texts, that is if bands
+and pruning miss it and every way around it.
 """
 
 from __future__ import annotations
@@ -262,11 +263,17 @@ def _compact(sign):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` but one of each near-duplicate component, with their own columns."""
+    """One row of each near-duplicate component, with its own columns; the first by id, null ids last.
+
+    Rows without words (null, empty, blank) are no one's copies and all stay. Of
+    rows with one id and text but other columns, the one with the least hash of
+    all columns stays, whatever the order of the input.
+    """
     mark, tie = "__near_texts_row", "__near_texts_tie"
     stay = link(docs).where("kept and worded").select(F.col("row").alias(mark), F.lit(True).alias(tie)).distinct()
     blank = ~F.coalesce(docs["text"], F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
     named = docs.withColumn(mark, row_key(docs["doc_id"], docs["text"]))
     # Of repeated rows, which have one key, one stays; the join has put them together.
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return named.where(~blank).join(stay, mark).dropDuplicates([mark]).select(*names).unionByName(named.where(blank).select(*names))
+    one = named.where(~blank).join(stay, mark).groupBy(mark).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias(tie))
+    return one.select(*[F.col(f"`{tie}`.`{c}`").alias(c) for c in docs.columns]).unionByName(named.where(blank).select(*names))

@@ -206,7 +206,8 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A text that loses words becomes the others joined by one space (maybe
     empty), with ``n_chars`` to match if there is such a column; all other
-    texts stay as they are.
+    texts, null and empty ones too, stay as they are. Rows with null ids are not
+    compared and stay whole; repeated rows stay, cut alike.
     """
     starts = find(docs, window)
     row, mark = "__substrings_row", "__substrings_starts"
