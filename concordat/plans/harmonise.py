@@ -151,7 +151,7 @@ def link(run: Run) -> Run:
     made["people"] = materialize(made["people"], "people")
     made["scores"] = materialize(made["scores"], "pair-scores")
     run.results["link"] = made
-    run.results["block_report"] = L.block_report(run.records, rules, made["pairs"], made["blocks"], p.max_pairs_warn_frac)
+    run.results["block_report"] = L.block_report(run.records, rules, None if run.seams.blocker is L.block else made["pairs"], made["blocks"], p.max_pairs_warn_frac)
     run.results["link_report"] = L.link_report(made["scores"], made["people"], p) | {"provenance": made["provenance"], "m": made["m"], "u": made["u"]}
     run.gate(L.check_collapse, run.results["link_report"], p)
     return run

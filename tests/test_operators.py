@@ -141,6 +141,34 @@ def test_blocking_refusals():
         L.agreement(None, "soundex")
 
 
+def test_block_report_without_pairs(spark, monkeypatch):
+    """Counts from keys equal those of made pairs, with a block over the limit, rules in common, lone records and ids that occur twice."""
+    import random
+
+    from concordat.queries import stages
+
+    rng = random.Random(5)
+    rows = [(rng.choice("CD"), f"r{i}", rng.choice("abcdefg"), rng.choice(["", None, *"uvwxyz"]), rng.choice("pqrs"), f"n{i}") for i in range(200)]
+    rows += [("C", "z", "a", "u", "p", "o"), ("C", "z", "b", "u", "p", "o"), ("C", "r1", "c", "v", "q", "o"), ("D", "lone", "solo", None, "none", "o")]
+    records = spark.createDataFrame(rows, "cohort_id string, record_id string, x string, y string, v string, w string")
+    rules = L.parse_rules([{"id": "x", "on": ["x"]}, {"id": "xy", "on": ["x", "y"]}, {"id": "y", "on": ["y"]}, {"id": "v", "on": ["v"]}, {"id": "w", "on": ["w", "x"]}, {"id": "gone", "on": ["gone"]}])
+    for limit, some in ((20, rules), (1, rules[:2])):
+        pairs, blocks = L.block(records, some, limit)
+        got, want = (L.block_report(records, some, p, blocks, 0.1) for p in (None, pairs))
+        for g, w in zip(got["rules"], want["rules"], strict=True):
+            twins = L._live(L.keys(records, some, ["cohort_id"]), blocks, ["cohort_id"]).where(f"rule_id = '{g['rule_id']}'").groupBy("cohort_id", "block_key", "record_id").count()
+            w["n_pairs"] += sum(r["count"] * (r["count"] - 1) // 2 for r in twins.collect())
+        assert got == want, limit
+    monkeypatch.setattr(L, "SUBSET_RULES", 2)
+    pairs, blocks = L.block(records, rules, 20)
+    assert L.block_report(records, rules, None, blocks, 0.1) == L.block_report(records, rules, pairs, blocks, 0.1)
+    # The query makes no pair.
+    block = L.block
+    monkeypatch.undo()
+    monkeypatch.setattr(L, "block", lambda *a: (None, block(*a)[1]))
+    assert {r["rule_id"]: r["n_pairs"] for r in stages.block_run_report(spark, "/root/testdata/sf0.001").collect()}["br_mrn"] == 0
+
+
 def test_missing_is_not_disagreement(spark):
     spec = L.parse_comparisons({"fields": [{"name": "x", "on": "x", "compare": "exact", "m": {"agree": 0.9, "disagree": 0.05, "missing": 0.05}, "u": {"agree": 0.1, "disagree": 0.85, "missing": 0.05}}]})
     records = spark.createDataFrame([("C", "1", "a"), ("C", "2", " "), ("C", "3", "b")], "cohort_id string, record_id string, x string")
