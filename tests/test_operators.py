@@ -8,6 +8,7 @@ import yaml
 from concordat.config import Params
 from concordat.errors import ConcordatError, ConfirmError, ConversionError, IngestError, LinkError, ProposeError, ValueMapError
 from concordat.functions import text as X
+from concordat.operators import classes as C
 from concordat.operators import confirm as K
 from concordat.operators import derive as D
 from concordat.operators import invariant as I
@@ -177,6 +178,53 @@ def test_missing_is_not_disagreement(spark):
     assert w["2"] == 0.0 > w["3"]
 
 
+def linkage_case(spark, rows):
+    """Records, two rules in common, and fields of each kind, among them one that no table has."""
+    mu = {"m": {"agree": 0.9, "disagree": 0.05, "missing": 0.05}, "u": {"agree": 0.1, "disagree": 0.85, "missing": 0.05}}
+    kinds = {"x": "exact", "y": "exact_ci", "z": "prefix:2", "v": "numeric:1.5", "none": "exact"}
+    spec = L.parse_comparisons({"fields": [{"name": k, "on": k, "compare": how, **mu} for k, how in kinds.items()]})
+    records = spark.createDataFrame(rows, "cohort_id string, record_id string, x string, y string, z string, v string")
+    weights = L.weight_table(spec, {c.name: c.m for c in spec}, {c.name: c.u for c in spec})
+    return records, L.parse_rules([{"id": "x", "on": ["x"]}, {"id": "yz", "on": ["y", "substr(z, 1, 1)"]}, {"id": "gone", "on": ["gone"]}]), spec, weights
+
+
+def some_rows(n):
+    import random
+
+    rng = random.Random(11)
+    return [(rng.choice("CD"), f"r{i}", rng.choice(["a", "b ", "", None]), rng.choice(["q", "Q", " ", "w"]), rng.choice(["abc", "ABd", "b", None]), rng.choice(["1", "2.5", "2.6", "1e3", "zz", "NaN", "inf", "", None])) for i in range(n)]
+
+
+@pytest.mark.parametrize("limit, cell", [(10_000, 256), (10_000, 4), (30, 256), (1, 256)])
+def test_counts_of_classes(spark, monkeypatch, limit, cell):
+    """Level combinations counted over classes are those of all pairs, with blocks over the limit and pairs of two rules."""
+    monkeypatch.setattr(C, "CELL", cell)
+    monkeypatch.setattr(C, "TASK_PAIRS", 500)
+    records, rules, spec, weights = linkage_case(spark, some_rows(150))
+    pairs, _ = L.block(records, rules, limit)
+    levels = L.compare(pairs, records, spec).localCheckpoint()
+    names = [c.name for c in spec]
+    want = {tuple(r[n] for n in names): r["n"] for r in L.vector_counts(levels, spec).collect()}
+    made = C.classes(records, rules, spec, limit)
+    assert C.vector_counts(made) == want
+    p = Params(match_threshold=4.0, clerical_threshold=1.0)
+    banded = {r["band"]: r["count"] for r in L.banded(L.score(levels, spec, weights), p).groupBy("band").count().collect()}
+    assert C.bands(want, spec, weights, p) == banded
+
+
+def test_counts_of_repeated_ids(spark):
+    """Two records of one id are no pair, whether alike or not; each makes one with others."""
+    records, rules, spec, _ = linkage_case(spark, [("C", "r1", "a", "q", "abc", "1"), ("C", "r1", "a", "q", "abc", "1"), ("C", "r1", "a", "q", "abc", "9"), ("C", "r2", "a", "q", "abc", "1")])
+    assert C.vector_counts(C.classes(records, rules, spec, 10)) == {("agree",) * 4 + ("missing",): 2, ("agree",) * 3 + ("disagree", "missing"): 1}
+
+
+def test_report_stores_no_pair(spark, monkeypatch):
+    from concordat.queries import stages
+
+    monkeypatch.delattr(L, "compare")
+    assert len(stages.link_report(spark, "/root/testdata/sf0.001").collect()) == 1
+
+
 def test_em_swaps_labels():
     spec = [L.Comparison(n, n, "exact", {"agree": 0.1, "disagree": 0.85, "missing": 0.05}, {"agree": 0.3, "disagree": 0.65, "missing": 0.05}) for n in "ab"]
     vectors = [(("agree", "agree"), 10), (("disagree", "disagree"), 90), (("agree", "disagree"), 10)]
