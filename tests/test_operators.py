@@ -225,6 +225,56 @@ def test_report_stores_no_pair(spark, monkeypatch):
     assert len(stages.link_report(spark, "/root/testdata/sf0.001").collect()) == 1
 
 
+@pytest.mark.parametrize("limit, threshold", [(10_000, 8.0), (10_000, 4.0), (30, 4.0), (10_000, 99.0), (10_000, -99.0)])
+def test_persons_of_classes(spark, monkeypatch, limit, threshold):
+    """Links of classes make the persons that all links make: also where alike records don't link by themselves, and with ids that occur twice."""
+    monkeypatch.setattr(C, "CELL", 8)
+    rows = some_rows(120) + [("C", "r5", "a", "Q", "abc", "2.5"), ("C", "r6", "b", "w", None, None), ("D", "r7", "a", "q", "ab", "1")]
+    records, rules, spec, weights = linkage_case(spark, rows)
+    links = C.links(C.classes(records, rules, spec, limit), weights, threshold)
+    every = {}
+    for cohort, i, *_ in rows:
+        every.setdefault((cohort, i), (cohort, i))
+
+    def root(n):
+        return n if every[n] == n else root(every[n])
+
+    sizes = {b["block_key"] + b["cohort_id"] + b["rule_id"]: b["n"] for b in L.block(records, rules, limit)[1].collect()}
+    keyed = [(r["x"] and r["cohort_id"] and f"{r['x']}{r['cohort_id']}x", r["y"] and r["z"] and f"{r['y']}{L.SEPARATOR}{r['z'][:1]}{r['cohort_id']}yz") for r in records.collect()]
+    level = lambda how, a, b: _level_by_hand(how, (a or "").strip(), (b or "").strip())
+    for i, a in enumerate(rows):
+        for j, b in enumerate(rows[:i]):
+            if a[0] == b[0] and a[1] != b[1] and any(k and k == m and sizes.get(k, 0) <= limit for k, m in zip(keyed[i], keyed[j], strict=True)):
+                w = sum(weights[c.name][level(c.compare, a[n + 2], b[n + 2]) if n < 4 else "missing"] for n, c in enumerate(spec))
+                if w >= threshold:
+                    every[root(a[:2])] = root(b[:2])
+    want = {}
+    for n in every:
+        want.setdefault(root(n), []).append(n[1])
+    got = L.resolve(records, links).collect()
+    assert sorted((r["cohort_id"], r["source_row_id"]) for r in got) == sorted((n[0], sorted(m)) for n, m in want.items())
+
+
+def _level_by_hand(how, a, b):
+    if not a or not b:
+        return "missing"
+    if how.startswith("numeric"):
+        try:
+            same = abs(float(a) - float(b)) <= 1.5
+        except ValueError:
+            same = False
+    else:
+        same = {"exact": a == b, "exact_ci": a.lower() == b.lower(), "prefix:2": a[:2].lower() == b[:2].lower()}[how]
+    return "agree" if same else "disagree"
+
+
+def test_persons_store_no_pair(spark, monkeypatch):
+    from concordat.queries import stages
+
+    monkeypatch.delattr(L, "compare")
+    assert stages.record_persons(spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_em_swaps_labels():
     spec = [L.Comparison(n, n, "exact", {"agree": 0.1, "disagree": 0.85, "missing": 0.05}, {"agree": 0.3, "disagree": 0.65, "missing": 0.05}) for n in "ab"]
     vectors = [(("agree", "agree"), 10), (("disagree", "disagree"), 90), (("agree", "disagree"), 10)]
