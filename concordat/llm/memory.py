@@ -18,7 +18,7 @@ SLICE_BYTES = 4 << 20
 def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of the text in ``column``; a longer text stands alone."""
     for batch in batches:
-        sizes = np.diff(_offsets(batch.column(column)))
+        sizes = np.diff(offsets_of(batch.column(column)))
         if int(sizes.sum()) <= limit:
             yield batch
             continue
@@ -32,7 +32,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BY
         yield batch.slice(start)
 
 
-def _offsets(texts: pa.Array) -> np.ndarray:
+def offsets_of(texts: pa.Array) -> np.ndarray:
     kind = np.int64 if texts.type in (pa.large_string(), pa.large_binary()) else np.int32
     data = texts.buffers()[1]
     if data is None or not len(texts):

@@ -69,6 +69,39 @@ def test_encoder_equals_library(texts, specials):
         at += k
 
 
+def test_encoder_meets_each_run_once(monkeypatch):
+    """Words with other signs, digits or line breaks at their runs of letters are no new words to the library."""
+    path = encode.vocabulary_path(registry.BYTE_BPE)
+    met = []
+    fresh = encode.WordEncoder._fresh
+    monkeypatch.setattr(encode.WordEncoder, "_fresh", lambda self, words: (met.extend(words.to_pylist()), fresh(self, words))[1])
+    stems = [f"{a}{b}" for a in ("thing", "größe", "ación", "Ñandú") for b in ("sch", "ing", "tion", "ères", "o")]
+    ends = ["", ",", ".", "!!", "***", "42", ".\nThe", "7,"]
+    text = "x " + " ".join(s + e for s in stems for e in ends)
+    ids, n = encode.WordEncoder(path).encode([text], 9)
+    assert ids.tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 9] and n.tolist() == [len(ids)]
+    assert len(met) <= len(stems) + 10
+
+
+@pytest.mark.parametrize("specials", [False, True])
+@pytest.mark.parametrize("plain", [False, True])
+def test_encoder_on_mixed_runs(specials, plain):
+    """Runs of every kind side by side, with and without the cut at runs, in slices of Arrow arrays."""
+    path = encode.vocabulary_path(registry.BYTE_BPE)
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = not specials
+    e = encode.WordEncoder(path, cache_words=300, specials=specials)
+    if not plain:
+        e.kinds = np.where(encode.KINDS == encode.SPACE, encode.KINDS, np.uint8(encode.ODD))
+    atoms = ["a", "The", "é", "ß", "×", "÷", "ɿ", "ʀ", "\u0308", "5", "²", "Ⅷ", "'s", "'", "'ll", "_", "...", "\n", "\r\n", "\n\n", "\t", "\x85", "\u3000", "\x1c", "\x00", "中文", "😀", "<|endoftext|>", "<|endof", "text|>", "«", "ª", "\ufeff"]
+    rng = random.Random(5)
+    for _ in range(60):
+        texts = ["".join(rng.choice(atoms) + " " * (rng.random() < 0.4) for _ in range(rng.choice((0, 1, 2, 5, 20)))) for _ in range(rng.choice((1, 30)))]
+        ids, n = e.encode(pa.array(["zz yy", *texts, "q"]).slice(1, len(texts)), 9)
+        want = [[*tok.encode(t, add_special_tokens=False).ids, 9] for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+
+
 def test_wavelet_round_trip():
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 300, 5000).astype(np.uint32)
