@@ -247,12 +247,12 @@ class WordEncoder(Words):
         new = np.ones(len(data) + 1, dtype=bool)
         new[1:-1] = _changes(kind)
         new[bounds] = True
-        odd = np.flatnonzero(kind == ODD)
-        if len(odd):
+        odd = kind == ODD
+        if odd.any():
             first = kind == SPACE
             first[bounds[bounds < len(data)]] = True
             first = np.append(np.flatnonzero(first), len(data))
-            words = np.unique(np.searchsorted(first, odd, side="right") - 1)
+            words = np.flatnonzero(np.logical_or.reduceat(odd, first[:-1]))
             inside = np.zeros(len(data) + 1, dtype=np.int8)
             inside[first[words] + 1] += 1
             inside[first[words + 1]] -= 1
