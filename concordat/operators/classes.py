@@ -25,7 +25,7 @@ TASK_PAIRS = 1_000_000
 
 @dataclass(frozen=True)
 class Classes:
-    """``rows``: records with keys ``k0``.. and values ``f0``..; ``table``: classes with n, rep (least id), cid, and keys of blocks within the limit ``b0``.."""
+    """``rows``: records with keys ``k0``.. and values ``f0``..; ``table``: classes with n, rep (least id), cid, and keys of the blocks that count ``b0``.."""
 
     rows: DataFrame
     table: DataFrame
@@ -58,8 +58,8 @@ def _level(a: Column, b: Column, how: str) -> Column:
     return F.when(a.isNull() | b.isNull(), 2).when(agree, 0).otherwise(1)
 
 
-def classes(records: DataFrame, rules: list[L.Rule], spec: list[L.Comparison], max_block_size: int, outcomes: tuple[str, ...] = (), group: tuple[str, ...] = ("cohort_id",)) -> Classes:
-    """Classes of the records of :func:`linkage.block`'s blocks; blocks over the limit are left out as there."""
+def classes(records: DataFrame, rules: list[L.Rule], spec: list[L.Comparison], max_block_size: int | None = None, outcomes: tuple[str, ...] = (), group: tuple[str, ...] = ("cohort_id",)) -> Classes:
+    """Classes of the records of :func:`linkage.block`'s blocks, of any size; only a caller's own limit leaves blocks out, as there."""
     for r in rules:
         L.refuse_outcome([L.component(c)[0] for c in r.on], outcomes, f"blocking rule {r.id}")
     for c in spec:
@@ -75,6 +75,9 @@ def classes(records: DataFrame, rules: list[L.Rule], spec: list[L.Comparison], m
     made = rows.where(blocked).groupBy(*g, *keys, *[f"f{j}" for j in fields]).agg(F.count("*").alias("n"), F.min("record_id").alias("rep"))
     table = materialize(made.withColumn("cid", F.monotonically_increasing_id()), "classes")
     for i, k in enumerate(keys):
+        if max_block_size is None:
+            table = table.withColumn(f"b{i}", F.col(k))
+            continue
         over = table.where(F.col(k).isNotNull()).groupBy(*g, k).agg(F.sum("n").alias("m")).where(F.col("m") > max_block_size)
         if over.isEmpty():
             table = table.withColumn(f"b{i}", F.col(k))
