@@ -246,6 +246,17 @@ def test_report_of_one_large_block(spark, tmp_path):
     assert [tuple(r) for r in got] == db.execute(ORACLE_SQL["link_report"]).fetchall()
 
 
+def test_persons_of_one_large_block(spark, tmp_path):
+    """Records of a block of any size find their persons: one of all with a balance, one for each record without."""
+    from concordat.queries import stages
+
+    one_nation(tmp_path, 10_001)
+    people = stages.record_persons(spark, str(tmp_path)).groupBy("person_id").count().collect()
+    # Balances are 200 apart and links bridge 250; a missing balance links with nothing.
+    lone = len(range(0, 10_001, 7))
+    assert sorted(r["count"] for r in people) == [1] * lone + [10_001 - lone]
+
+
 @pytest.mark.parametrize("limit, threshold", [(10_000, 8.0), (10_000, 4.0), (30, 4.0), (10_000, 99.0), (10_000, -99.0)])
 def test_persons_of_classes(spark, monkeypatch, limit, threshold):
     """Links of classes make the persons that all links make: also where alike records don't link by themselves, and with ids that occur twice."""
