@@ -37,6 +37,14 @@ def ranked(df: DataFrame, key: list[str], order: list[str], name: str = "rank")
     return dealt.withColumn(name, local).join(base, [*key, PART]).withColumn(name, F.col(name) + F.col("before")).drop("before", PART)
 
 
+def running(df: DataFrame, key: list[str], order: list[str], n: str, name: str) -> DataFrame:
+    """Adds the sum of ``n`` up to the row in its group by ``order``; of rows alike in that, one at most has an ``n`` other than 0, or their sums are undefined."""
+    dealt = _dealt(df, key, order)
+    base = _bases(dealt, key, F.sum(n)).select(*key, PART, "before")
+    local = F.sum(n).over(Window.partitionBy(*key, PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return dealt.withColumn(name, local).join(base, [*key, PART]).withColumn(name, F.col(name) + F.col("before")).drop("before", PART)
+
+
 def quantiles(values: DataFrame, key: list[str], probabilities: tuple[float, ...], x: str = "x", n: str = "n", totals: bool = False) -> DataFrame:
     """(key, quantiles), with ``totals`` the total of n too: exact interpolated quantiles of ``x``, which occurs ``n`` times; (key, x) is unique and x not null."""
     dealt = _dealt(values, key, [x])

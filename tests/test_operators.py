@@ -225,6 +225,64 @@ def test_report_stores_no_pair(spark, monkeypatch):
     assert len(stages.link_report(spark, "/root/testdata/sf0.001").collect()) == 1
 
 
+def no_pairs(*_):
+    raise AssertionError("pairs are made")
+
+
+@pytest.mark.parametrize("limit", [None, 30])
+def test_counts_by_sets_are_those_of_pairs(spark, monkeypatch, limit):
+    """Sums over sets of fields and pairs of classes tell the same, each without the other."""
+    records, rules, spec, _ = linkage_case(spark, some_rows(150) + [("C", f"n{i}", "a", "q", "abc", v) for i, v in enumerate(["-0.0", "0", "1.5", "-1.5", "-1.5000000000000002", "0.1", "1.6", "1.6000000000000003", "1e308", "-1e308"])])
+    made = C.classes(records, rules, spec, limit)
+    with monkeypatch.context() as m:
+        m.setattr(C, "_met", no_pairs)
+        got = C.vector_counts(made)
+    monkeypatch.setattr(C, "COUNT_SETS", 0)
+    assert got == C.vector_counts(made)
+    assert sum(got.values()) > 0
+
+
+@pytest.mark.parametrize("threshold", [10.0, 8.0, 4.0, -99.0])
+def test_sorted_links_join_what_all_links_join(spark, monkeypatch, threshold):
+    """Neighbours in sorted order make the persons that all links of classes make, whatever is missing on either side."""
+    records, rules, spec, weights = linkage_case(spark, some_rows(140))
+    made = C.classes(records, rules, spec)
+    with monkeypatch.context() as m:
+        m.setattr(C, "_met", no_pairs)
+        got = L.resolve(records, C.links(made, weights, threshold)).collect()
+    monkeypatch.setattr(C, "_link_sets", lambda *_: None)
+    want = L.resolve(records, C.links(made, weights, threshold)).collect()
+    assert sorted(r["person_id"] for r in got) == sorted(r["person_id"] for r in want)
+
+
+def test_links_where_agreement_counts_against(spark, monkeypatch):
+    """Weights by which agreement tells against a link, or two numbers in one, are judged in pairs."""
+    records, rules, spec, weights = linkage_case(spark, some_rows(60))
+    made = C.classes(records, rules, spec)
+    assert C._link_sets(made, weights, 4.0) is not None
+    assert C._link_sets(made, weights | {"x": {"agree": -1.0, "disagree": 1.0, "missing": 0.0}}, 4.0) is None
+    two = C.classes(records, rules, [*spec, L.Comparison("w", "z", "numeric:1", spec[0].m, spec[0].u)])
+    assert not C._countable(two) and C._link_sets(two, weights | {"w": weights["v"]}, 99.0) == []
+
+
+def test_reach_is_the_last_within_the_tolerance():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.round(rng.uniform(-999, 9999, 500), 2), [-250.0, 0.0, -0.0, 1e-300, 1e300, -1e300, 1.7e308, 5e-324]])
+    for tolerance in (250.0, 1.5, 0.0, 1e-9):
+        y = C.reach(x, tolerance)
+        assert np.all(y - x <= tolerance) and not np.any(np.nextafter(y, np.inf) - x <= tolerance)
+
+
+def test_large_blocks_are_not_squared(spark, monkeypatch):
+    from concordat.queries import stages
+
+    monkeypatch.setattr(C, "_met", no_pairs)
+    assert len(stages.link_report(spark, "/root/testdata/sf0.001").collect()) == 1
+    assert stages.record_persons(spark, "/root/testdata/sf0.001").count() > 1
+
+
 def one_nation(folder, n):
     """A supplier table of one nation with few distinct records, and its view in DuckDB."""
     import duckdb
